@@ -118,7 +118,7 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     if not cut:
         return PpmModel({})
     # the hash is uniform, so a bound on it draws about the wanted number without sorting; a margin keeps small draws whole
-    bound = F.coalesce(*[F.when(F.col(lang_col) == r["lang"], F.lit(int(-(2**63) + min(1.0, (per_language * 1.2 + 30) / r["n"]) * (2**64 - 1)))) for r in cut])
+    bound = F.coalesce(*[F.when(F.col(lang_col) == r["lang"], F.lit(min(2**63 - 1, int(min(1.0, (per_language * 1.2 + 30) / r["n"]) * 2**64) - 2**63))) for r in cut])
     drawn = labelled.filter((F.length(text_col) > 0) & (F.xxhash64(F.col(id_col).cast("string")) <= bound)).select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(text_col).alias("text")).toPandas()
     texts = {k: [t.encode() for t in g.sort_values(["h", "text"]).text[:per_language]] for k, g in drawn.groupby("lang")}
     model = PpmModel(texts, contexts)
