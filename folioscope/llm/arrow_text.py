@@ -72,7 +72,7 @@ def hashes(column: pa.Array) -> np.ndarray:
 
 
 def _powers(n: int) -> np.ndarray:
-    return np.cumprod(np.concatenate([[1], np.full(n - 1, 0x9E3779B97F4A7C15)]).astype(np.uint64), dtype=np.uint64)
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, np.uint64(0x9E3779B97F4A7C15))]), dtype=np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
