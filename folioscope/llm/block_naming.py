@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from folioscope.llm.scratch import written
+from folioscope.llm.scratch import among, written
 
 BLOCK = 4096
 
@@ -35,7 +35,8 @@ def identities(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     """
     texts = docs.select(F.col(id_col).alias("id"), F.octet_length(text_col).alias("size"), _hash(F.col(text_col)).alias("hash"), F.col(text_col).cast("binary").alias("text"))
     shared = texts.groupBy("size", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and size is not null").select("size", "hash")
-    suspects = texts.join(written(shared, "shared"), ["size", "hash"]).groupBy("id", "size", "hash", "text").agg(F.count(F.lit(1)).alias("rows"))
+    shared = written(shared, "shared")
+    suspects = texts.filter(among(F.col("hash"), shared.select("hash"))).join(shared, ["size", "hash"]).groupBy("id", "size", "hash", "text").agg(F.count(F.lit(1)).alias("rows"))
     suspects = written(suspects.withColumn("row", F.monotonically_increasing_id()), "suspects")
     count = F.greatest(F.lit(1), F.ceil(F.col("size") / block)).cast("int")
     cut = suspects.select("row", F.posexplode(F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring(F.col("text"), i * block + 1, F.lit(block)))).alias("place", "part"))
@@ -86,7 +87,9 @@ def without_copies(docs: DataFrame, *, block: int = BLOCK) -> DataFrame:
     placed = same.withColumn("place", F.row_number().over(order)).select(F.col("id").alias("_i"), F.col("size").alias("_s"), F.col("hash").alias("_h"), "place", "rows")
     texts = docs.withColumns({"_size": F.octet_length("text"), "_hash": _hash(F.col("text"))})
     match = F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_size") == F.col("_s")) & (F.col("_hash") == F.col("_h"))
-    stay = texts.join(placed.filter("place > 1").select("_i", "_s", "_h"), match, "left_anti")
+    gone = placed.filter("place > 1").select("_i", "_s", "_h")
+    maybe = among(F.col("_hash"), gone.select("_h"))
+    stay = texts.filter(~maybe).union(texts.filter(maybe).join(gone, match, "left_anti"))
     twice = placed.filter("place = 1 and rows > 1").select("_i", "_s", "_h")
     if twice.isEmpty():
         return stay.drop("_size", "_hash")

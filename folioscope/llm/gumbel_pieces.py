@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.arrow_text import mix, slices, utf8
+from folioscope.llm.arrow_text import map_batches, mix, slices, utf8
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES, TEMPERATURE = 2, 1.0
@@ -353,7 +353,7 @@ def sampled(table: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 score = [pa.array(np.array([s[j] for s in flat], float), mask=empty) for j in (1, 2, 3)]
                 yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(row)), pa.array(number.astype(np.int32)), lists, *score], names=["id", "sample", "ids", "log_prob", "key", "inclusion"])
 
-    return one.mapInArrow(run, f"id {kind}, sample int, ids array<int>, log_prob double, key double, inclusion double").withColumnRenamed("id", id_col)
+    return map_batches(one, run, f"id {kind}, sample int, ids array<int>, log_prob double, key double, inclusion double").withColumnRenamed("id", id_col)
 
 
 def decoded(rows: DataFrame, *, ids_col: str = "ids", model: str = MODEL) -> DataFrame:
@@ -368,4 +368,4 @@ def decoded(rows: DataFrame, *, ids_col: str = "ids", model: str = MODEL) -> Dat
             texts = [None if x is None else sp.decode(x) for x in batch.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)

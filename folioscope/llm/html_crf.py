@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.arrow_text import slices
+from folioscope.llm.arrow_text import map_batches, slices
 from folioscope.llm.lbfgs import minimise
 
 BITS = 14
@@ -239,7 +239,7 @@ def fit(labelled: DataFrame) -> ChainField:
                 labels.append(label(texts, document))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), pa.array(feats, pa.list_(pa.list_(pa.int32()))), pa.array(labels, pa.list_(pa.int32()))], names=["page_id", "features", "labels"])
 
-    rows = labelled.mapInArrow(run, "page_id long, features array<array<int>>, labels array<int>").toArrow().sort_by("page_id")
+    rows = map_batches(labelled, run, "page_id long, features array<array<int>>, labels array<int>").toArrow().sort_by("page_id")
     # a page none of whose blocks stand in the document isn't that document's
     return fit_pages([(f, y) for f, y in zip(rows.column("features").to_pylist(), rows.column("labels").to_pylist()) if sum(y)])
 
@@ -266,4 +266,4 @@ def extracted(pages: DataFrame, model: ChainField, *, id_col: str = "page_id", h
                     out.append(None if html is None else "\n".join(chosen))
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n, pa.int32()), pa.array(kept, pa.int32()), pa.array(out, pa.string())], names=["id", "n_blocks", "n_content", "text"])
 
-    return one.mapInArrow(run, f"id {one.schema['id'].dataType.simpleString()}, n_blocks int, n_content int, text string").withColumnRenamed("id", id_col)
+    return map_batches(one, run, f"id {one.schema['id'].dataType.simpleString()}, n_blocks int, n_content int, text string").withColumnRenamed("id", id_col)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.arrow_text import per_text, slices, utf8, with_columns
+from folioscope.llm.arrow_text import map_batches, per_text, slices, utf8, with_columns
 
 ORDER = 3
 SLICE = 1_000_000
@@ -144,7 +144,7 @@ def identify(docs: DataFrame, model: PpmModel, *, id_col: str = "doc_id", text_c
 
     one = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = one.schema["id"].dataType.simpleString()
-    return one.mapInArrow(score, f"id {kind}, language string, bits_per_byte double, margin double, accepted boolean").withColumnRenamed("id", id_col)
+    return map_batches(one, score, f"id {kind}, language string, bits_per_byte double, margin double, accepted boolean").withColumnRenamed("id", id_col)
 
 
 def _scored(model: PpmModel, part: pa.RecordBatch, slack: float) -> pa.RecordBatch:
@@ -186,4 +186,4 @@ def accepted_documents(docs: DataFrame, model: PpmModel, *, text_col: str = "tex
                 if kept.num_rows:
                     yield kept.rename_columns(schema.fieldNames())
 
-    return docs.mapInArrow(keep, schema)
+    return map_batches(docs, keep, schema)

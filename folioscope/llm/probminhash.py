@@ -16,12 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.arrow_text import hashes, mix, slices, utf8, words
-from folioscope.llm.scratch import components, written
+from folioscope.llm.arrow_text import hashes, map_batches, mix, slices, utf8, words
+from folioscope.llm.scratch import among, components, written
 
 COMPONENTS, ROWS, RUN = 128, 4, 3
 THRESHOLD = 0.5
-DOUBT = 0.15  # three standard errors of an estimate from 128 components
+DOUBT = 0.13  # three standard errors of an estimate from 128 components
 PAIRWISE = 64
 
 
@@ -112,7 +112,7 @@ def signed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
                 yield pa.RecordBatch.from_arrays([part.column("id").filter(pa.array(some)), pa.array(whole.view(np.int64)), lists, blob], names=["id", "whole", "bands", "sig"])
 
     one = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null and text is not null")
-    return one.mapInArrow(run, "id long, whole long, bands array<long>, sig binary")
+    return map_batches(one, run, "id long, whole long, bands array<long>, sig binary")
 
 
 def _reached(m: int, threshold: float):
@@ -138,19 +138,20 @@ def _reached(m: int, threshold: float):
     return run
 
 
-def candidates(table: DataFrame, *, m: int = COMPONENTS, threshold: float = THRESHOLD) -> DataFrame:
-    """Distinct pairs (a < b) of nodes that agree in a band.
+def candidates(heads: DataFrame, table: DataFrame, *, m: int = COMPONENTS, threshold: float = THRESHOLD) -> DataFrame:
+    """Distinct pairs (a < b) of the nodes ``heads`` that agree in a band; ``table`` has the signatures.
 
     Equal buckets count once. A bucket of up to 64 nodes gives all its pairs. A larger one gives the pairs by which a breadth-first
     search over its signatures reaches every node, so that its groups are whole though it isn't squared.
     """
-    rows = table.select("id", F.explode("bands").alias("key"))
+    rows = heads.select("id", F.explode("bands").alias("key"))
     buckets = rows.groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("ids")).filter(F.size("ids") > 1).select("ids").distinct()
     buckets = written(buckets, "buckets")
     few = buckets.filter(F.size("ids") <= PAIRWISE).select(F.posexplode("ids").alias("p", "a"), "ids")
     few = few.select("a", F.explode(F.expr("slice(ids, p + 2, size(ids))")).alias("b"))
     many = buckets.filter(F.size("ids") > PAIRWISE).select(F.xxhash64("ids").alias("bucket"), F.explode("ids").alias("id"))
-    spanned = many.join(table.select("id", "sig"), "id").groupBy("bucket").applyInArrow(_reached(m, threshold - DOUBT), "a long, b long")
+    sigs = table.select("id", "sig").filter(among(F.col("id"), many.select("id").distinct()))
+    spanned = many.join(sigs, "id").groupBy("bucket").applyInArrow(_reached(m, threshold - DOUBT), "a long, b long")
     return few.union(spanned.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
 
 
@@ -160,7 +161,7 @@ def _agreement(pairs: DataFrame, m: int) -> DataFrame:
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(batch.num_rows, m) for c in ("sa", "sb"))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array((x == y).mean(1))], names=["a", "b", "estimate"])
 
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, estimate double")
+    return map_batches(pairs.select("a", "b", "sa", "sb"), run, "a long, b long, estimate double")
 
 
 def _exact(pairs: DataFrame) -> DataFrame:
@@ -175,7 +176,7 @@ def _exact(pairs: DataFrame) -> DataFrame:
                 value = np.array([similarity(x, y) for x, y in zip(*sets)], float)
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(value)], names=["a", "b", "similarity"])
 
-    return pairs.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, similarity double")
+    return map_batches(pairs.select("a", "b", "ta", "tb"), run, "a long, b long, similarity double")
 
 
 def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, m: int = COMPONENTS, rows: int = ROWS) -> DataFrame:
@@ -185,19 +186,17 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", t
     empty and blank texts, are in no group. An id whose rows have several texts joins the groups of all of them.
     """
     table = written(signed(docs, id_col=id_col, text_col=text_col, m=m, rows=rows), "signatures")
-    low = table.groupBy("whole").agg(F.min("id").alias("rep"))
-    nodes = table.join(low, "whole")
-    same = nodes.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    firsts = nodes.filter("id = rep").select("id", "bands", "sig").dropDuplicates(["bands"])
-    firsts = written(firsts, "nodes")
-    pairs = candidates(firsts, m=m, threshold=threshold)
-    sig_a, sig_b = (firsts.select(F.col("id").alias(k), F.col("sig").alias(f"s{k}")) for k in ("a", "b"))
+    heads = written(table.groupBy("whole").agg(F.min("id").alias("id"), F.min_by("bands", "id").alias("bands")), "nodes")
+    same = table.select("id", "whole").join(heads.select("whole", F.col("id").alias("rep")), "whole").filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    pairs = written(candidates(heads.select("id", "bands"), table, m=m, threshold=threshold), "candidates")
+    sigs = table.select("id", "sig").filter(among(F.col("id"), pairs.select("a").union(pairs.select("b")).distinct()))
+    sig_a, sig_b = (sigs.select(F.col("id").alias(k), F.col("sig").alias(f"s{k}")) for k in ("a", "b"))
     rated = written(_agreement(pairs.join(sig_a, "a").join(sig_b, "b"), m).filter(F.col("estimate") >= threshold - DOUBT), "rated")
     sure = rated.filter(F.col("estimate") >= threshold + DOUBT).select("a", "b")
     open_ = rated.filter(F.col("estimate") < threshold + DOUBT).select("a", "b")
-    wanted = open_.select(F.col("a").alias("id")).union(open_.select("b")).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("text is not null").join(wanted, "id")
-    texts = written(texts.dropDuplicates(["id", "text"]), "texts")
+    wanted = written(open_.select(F.col("a").alias("id")).union(open_.select("b")).distinct(), "wanted")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("text is not null")
+    texts = written(texts.filter(among(F.col("id"), wanted)).join(wanted, "id").dropDuplicates(["id", "text"]), "texts")
     ta, tb = (texts.select(F.col("id").alias(k), F.col("text").alias(f"t{k}")) for k in ("a", "b"))
     proved = _exact(open_.join(ta, "a").join(tb, "b")).filter(F.col("similarity") >= threshold).select("a", "b")
     linked = components(sure.union(proved).union(same), "near")
@@ -217,4 +216,5 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose id is the least of its group, all columns kept. Rows with a null id stay."""
     gone = written(groups(docs, **options).filter("id <> group_id").select(F.col("id").alias("_gone")), "gone")
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    maybe = among(F.col("doc_id").cast("long"), gone)
+    return docs.filter(~maybe).union(docs.filter(maybe).join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti"))

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.arrow_text import hashes, slices, utf8, with_columns, words
+from folioscope.llm.arrow_text import hashes, map_batches, slices, utf8, with_columns, words
 from folioscope.llm.lbfgs import minimise
 
 BITS = 18
@@ -143,7 +143,7 @@ def fit(docs: DataFrame, ratings: DataFrame, *, grades: int = 3, most_rated: int
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(len(shares) + 1) * SHARES, pa.int32()), pa.array(shares.ravel(), pa.float64()))
                 yield with_columns(part, ["rated", "grade"], idx=lists, shares=flat)
 
-    got = both.mapInArrow(run, "rated long, grade int, idx array<int>, shares array<double>").toArrow().sort_by("rated")
+    got = map_batches(both, run, "rated long, grade int, idx array<int>, shares array<double>").toArrow().sort_by("rated")
     if not got.num_rows:
         return OrdinalModel(np.zeros(1 << BITS, np.float32), np.zeros(SHARES), np.full(grades - 1, -50.0))
     idx = got.column("idx").combine_chunks()
@@ -168,7 +168,7 @@ def rate(docs: DataFrame, model: OrdinalModel, *, least_tail: float = 0.5) -> Da
                 yield with_columns(part, ["doc_id"], expected_grade=pa.array(tails.sum(1), mask=empty), tail=pa.array(tails[:, -1], mask=empty), accepted=pa.array(~empty & (tails[:, -1] >= least_tail)))
 
     one = docs.select("doc_id", "text")
-    return one.mapInArrow(run, f"doc_id {one.schema['doc_id'].dataType.simpleString()}, expected_grade double, tail double, accepted boolean")
+    return map_batches(one, run, f"doc_id {one.schema['doc_id'].dataType.simpleString()}, expected_grade double, tail double, accepted boolean")
 
 
 def _tails(model: OrdinalModel, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -190,4 +190,4 @@ def accepted_documents(docs: DataFrame, model: OrdinalModel, *, least_tail: floa
                 if kept.num_rows:
                     yield kept.rename_columns(schema.fieldNames())
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)

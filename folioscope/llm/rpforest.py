@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.llm.arrow_text import map_batches
 from folioscope.llm.scratch import components, written
 
 TREES, LEAF, SPILL = 12, 256, 0.05
@@ -152,7 +153,7 @@ def groups(table: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embed
         a, b = linked(rows.column("id").to_numpy(), x, threshold)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    pairs = one.mapInArrow(route, "id long, leaf long, v array<float>").groupBy("leaf").applyInArrow(compare, "a long, b long").distinct()
+    pairs = map_batches(one, route, "id long, leaf long, v array<float>").groupBy("leaf").applyInArrow(compare, "a long, b long").distinct()
     root = written(components(written(pairs, "near-vectors"), "vector-groups"), "vector-roots")
     size = root.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     found = ids.join(root.join(size, "root"), "id", "left")

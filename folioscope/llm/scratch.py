@@ -10,7 +10,9 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _WRITTEN: list[tuple[SparkSession, str]] = []
@@ -52,6 +54,33 @@ def clear_scratch() -> None:
 atexit.register(clear_scratch)
 
 
+MOST_BITS = 27
+
+
+def among(key: Column, keys: DataFrame) -> Column:
+    """Whether ``key`` may be in the one column of ``keys``: true wherever it is, and seldom elsewhere.
+
+    Rows that aren't can be told before a join, so that the join needn't shuffle them. The bits that are broadcast are 16 for each of ``keys`` and at
+    most 2**27, 16 MB; with many more keys than that more rows go to the join, and its result is the same.
+    """
+    n = keys.count()
+    if not n:
+        return F.lit(False)
+    bits = min(MOST_BITS, max(10, int(16 * n).bit_length()))
+    place = F.pmod(F.xxhash64(F.col(keys.columns[0])), F.lit(1 << bits))
+    rows = keys.select(place.alias("p")).selectExpr("p div 64 AS w", "shiftleft(cast(1 AS bigint), cast(p % 64 AS int)) AS b").groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    table = np.zeros(1 << (bits - 6), np.int64)
+    table[rows.column("w").to_numpy()] = rows.column("b").to_numpy()
+    shared = keys.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def held(p: pd.Series) -> pd.Series:
+        at = p.to_numpy()
+        return pd.Series(((shared.value[at >> 6] >> (at & 63)) & 1).astype(bool))
+
+    return held(F.pmod(F.xxhash64(key), F.lit(1 << bits)))
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(id, root) for each vertex of the undirected ``edges(a, b)``; ``root`` is the least id of the component.
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.arrow_text import slices, utf8
+from folioscope.llm.arrow_text import map_batches, slices, utf8
 from folioscope.llm.scratch import written
 
 LANES, BLOCK, SCALE = 4, 2048, 20
@@ -187,7 +187,7 @@ def token_table(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                 blobs = pa.array([None if nothing[i] else blob[4 * a : 4 * b] for i, (a, b) in enumerate(zip(bounds, bounds[1:]))], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(bounds)), blobs], names=["id", "n", "ids"])
 
-    return one.mapInArrow(run, f"id {one.schema['id'].dataType.simpleString()}, n long, ids binary")
+    return map_batches(one, run, f"id {one.schema['id'].dataType.simpleString()}, n long, ids binary")
 
 
 def frequencies(tokens: DataFrame, scale: int = SCALE) -> Frequencies:
@@ -205,7 +205,7 @@ def frequencies(tokens: DataFrame, scale: int = SCALE) -> Frequencies:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["id", "n"])
 
-    rows = tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    rows = map_batches(tokens.select("ids"), run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     ids, n = rows.column("id").to_numpy(), rows.column("n").to_numpy()
     counts = np.zeros(ids.max() + 1 if len(ids) else 0, np.int64)
     counts[ids] = n
@@ -244,7 +244,7 @@ def encoded(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("n"), pa.array(whole, pa.binary()), pa.array(marks, kind)], names=["id", "n_tokens", "payload", "checkpoints"])
 
     kind = tokens.schema["id"].dataType.simpleString()
-    rows = tokens.mapInArrow(run, _SCHEMA.format(kind))
+    rows = map_batches(tokens, run, _SCHEMA.format(kind))
     head = docs.sparkSession.createDataFrame([(None, -1, bytearray(table.packed()), [])], _SCHEMA.format(kind))
     return rows.union(head).withColumnRenamed("id", id_col)
 
@@ -269,6 +269,6 @@ def decoded(rows: DataFrame, *, id_col: str = "doc_id", block: int = BLOCK) -> D
     named = written(rows.filter("n_tokens >= 0").withColumn("row", F.monotonically_increasing_id()), "encoded")
     blocks = named.select("row", "n_tokens", "payload", "checkpoints", F.posexplode("checkpoints").alias("pos", "c"))
     blocks = blocks.select("row", F.col("c.token").alias("token"), F.least(F.lit(block), F.col("n_tokens") - F.col("c.token")).alias("n"), F.col("c.crc").alias("crc"), F.expr("substring(payload, cast(c.byte as int) + 1, cast(coalesce(checkpoints[pos + 1].byte, length(payload)) - c.byte as int))").alias("part"))
-    ids = blocks.mapInArrow(run, "row long, token long, ids array<long>").groupBy("row").agg(F.flatten(F.expr("transform(array_sort(collect_list(struct(token, ids))), x -> x.ids)")).alias("ids"))
+    ids = map_batches(blocks, run, "row long, token long, ids array<long>").groupBy("row").agg(F.flatten(F.expr("transform(array_sort(collect_list(struct(token, ids))), x -> x.ids)")).alias("ids"))
     none = F.when(F.col("payload").isNotNull(), F.expr("cast(array() as array<long>)"))
     return named.join(ids, "row", "left").select(id_col, F.coalesce("ids", none).alias("ids"))

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioscope.llm.arrow_text import map_batches
+
 AFTER = "\U0010ffff"  # ends the interval of a prefix
 
 
@@ -99,7 +101,7 @@ def matched(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", url_
     spread = given.select("key", of("key").alias("low"), of(F.concat("key", F.lit(AFTER))).alias("high"), "rule_id", "action")
     spread = spread.select(F.lit(None).cast(kind).alias("id"), "key", F.explode(F.sequence("low", "high")).alias("range"), "rule_id", "action")
     rows = placed.union(spread).repartition(F.col("range")).sortWithinPartitions("range", "key", F.col("rule_id").asc_nulls_last())
-    swept = rows.mapInArrow(_sweep, f"id {kind}, key string, rule_id long, action string, depth int")
+    swept = map_batches(rows, _sweep, f"id {kind}, key string, rule_id long, action string, depth int")
     none = keyed.filter("key is null").select("id", "key", F.lit(None).cast("long").alias("rule_id"), F.lit("allow").alias("action"), F.lit(0).alias("depth"))
     return swept.union(none).withColumnRenamed("id", id_col)
 
