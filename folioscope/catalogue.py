@@ -304,7 +304,7 @@ def final_sections(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def table_render(spark: SparkSession, sf: str) -> DataFrame:
     li = read(spark, sf, "lineitem")
-    cell = lambda pos, col, text: F.struct(F.lit(pos).alias("pos"), F.lit(col).alias("col"), text.alias("text"))
+    cell = lambda pos, col, text: F.struct((F.col("l_partkey") * 3 + pos).alias("pos"), F.lit(col).alias("col"), text.alias("text"))
     cells = li.select(F.col("l_orderkey").alias("table_id"), F.col("l_linenumber").alias("row"), F.explode(F.array(cell(0, 0, F.col("l_returnflag")), cell(1, 2, F.col("l_partkey").cast("string")), cell(2, 2, F.when(F.col("l_partkey") % 2 == 0, F.lit(" even ")).otherwise(F.lit(" "))))).alias("c"))
     return sections.table_rows(cells.select("table_id", F.col("c.pos").alias("pos"), "row", F.col("c.col").alias("col"), (F.col("row") + 1).alias("end_row"), F.lit(3).alias("end_col"), F.col("c.text").alias("text")))
 

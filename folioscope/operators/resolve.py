@@ -31,13 +31,14 @@ def _contained(short: DataFrame, long: DataFrame) -> DataFrame:
     loop. The rarest of a key's aligned runs is sought, so that a common beginning doesn't flood the join.
     """
     s = short.filter(F.length("key") >= LEAST_KEY).select(F.col("id").alias("sid"), F.col("key").alias("skey")).distinct()
-    runs = F.transform(F.sequence(F.lit(1), F.length("lkey") - (BLOCK - 1)), lambda i: F.substring(F.col("lkey"), i, F.lit(BLOCK)))
+    # one regular expression gives all runs in a pass; runs are compared by hash and the keys themselves at the end
+    runs = lambda key, pattern: F.transform(F.regexp_extract_all(key, F.lit(pattern), F.lit(1)), lambda r: F.xxhash64(r))
     own = long.filter(F.length("key") >= LEAST_KEY).select(F.col("id").alias("lid"), F.col("key").alias("lkey"))
-    pieces = s.select("sid", "skey", F.explode(F.transform(F.sequence(F.lit(0), F.floor(F.length("skey") / BLOCK).cast("int") - 1), lambda i: F.substring(F.col("skey"), i * BLOCK + 1, F.lit(BLOCK)))).alias("run")).distinct()
-    spread = own.select("lid", F.explode(F.array_distinct(runs)).alias("run"))
+    pieces = s.select("sid", "skey", F.explode(runs("skey", f"(.{{{BLOCK}}})")).alias("run")).distinct()
+    spread = own.select("lid", F.explode(F.array_distinct(runs("lkey", f"(?=(.{{{BLOCK}}}))"))).alias("run"))
     common = spread.join(pieces.select("run").distinct(), "run", "left_semi")
     often = common.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
-    best = pieces.join(often, "run", "left").groupBy("sid", "skey").agg(F.min_by("run", F.struct(F.coalesce("n", F.lit(0)), "run")).alias("run"))
+    best = pieces.join(often, "run", "left").groupBy("sid", "skey").agg(F.min_by("run", F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("run"))).alias("run"))
     hits = best.join(common, "run").join(own, "lid").filter(F.contains("lkey", "skey"))
     return hits.select("sid", "lid", F.length("skey").alias("score")).distinct()
 

@@ -114,7 +114,7 @@ def table_rows(cells: DataFrame) -> DataFrame:
     """
     size = Window.partitionBy("table_id")
     at = cells.withColumn("rows", F.max("end_row").over(size)).withColumn("cols", F.max("end_col").over(size)).filter("row >= 0 AND col >= 0 AND row < rows AND col < cols")
-    some = at.filter("trim(text) <> ''").groupBy("table_id", "row", "col", "cols").agg(F.max_by(F.trim("text"), "pos").alias("t"))
+    some = at.filter("trim(text) <> ''").groupBy("table_id", "row", "col", "cols").agg(F.max_by(F.trim("text"), F.struct("pos", "text")).alias("t"))
     lines = some.groupBy("table_id", "row", "cols").agg(F.map_from_entries(F.collect_list(F.struct("col", "t"))).alias("m"))
     text = F.array_join(F.transform(F.sequence(F.lit(0), F.col("cols") - 1), lambda c: F.coalesce(F.col("m")[c], F.lit(""))), " | ")
     return lines.select("table_id", F.col("row").alias("row_no"), text.alias("row_text"))

@@ -73,11 +73,11 @@ _LEVELS = f"""
     levels AS (SELECT doc_id, ord, title, CAST(CASE WHEN raw > 1 THEN raw WHEN ab THEN 1 WHEN up AND inside THEN 2 ELSE 1 END AS INTEGER) AS level FROM stated)"""
 _TEXT = """
     body AS (SELECT doc_id, ord, line, w BETWEEN 1 AND 3 AS head FROM counted WHERE NOT w > 200),
-    at AS (SELECT *, last_value(CASE WHEN head THEN ord END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section_ord FROM body),
-    sections AS (SELECT doc_id, section_ord, max(CASE WHEN head THEN trim(line, ' ') END) AS title, coalesce(string_agg(CASE WHEN NOT head AND trim(line, ' ') <> '' THEN trim(line, ' ') END, chr(10) || chr(10) ORDER BY ord), '') AS text FROM at GROUP BY 1, 2)"""
+    placed AS (SELECT *, last_value(CASE WHEN head THEN ord END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section_ord FROM body),
+    sections AS (SELECT doc_id, section_ord, max(CASE WHEN head THEN trim(line, ' ') END) AS title, coalesce(string_agg(CASE WHEN NOT head AND trim(line, ' ') <> '' THEN trim(line, ' ') END, chr(10) || chr(10) ORDER BY ord), '') AS text FROM placed GROUP BY 1, 2)"""
 _TREE = """
     parents AS (SELECT l.doc_id, l.ord, l.level, l.title, (SELECT max(p.ord) FROM levels p WHERE p.doc_id = l.doc_id AND p.ord < l.ord AND p.level < l.level) AS parent_ord,
-                       'sec_' || lpad(CAST(row_number() OVER (PARTITION BY l.doc_id ORDER BY l.ord) AS VARCHAR), greatest(3, length(CAST(row_number() OVER (PARTITION BY l.doc_id ORDER BY l.ord) AS VARCHAR))), '0') AS section_id FROM levels l),
+                       'sec_' || lpad(CAST(row_number() OVER (PARTITION BY l.doc_id ORDER BY l.ord) AS VARCHAR), CAST(greatest(3, length(CAST(row_number() OVER (PARTITION BY l.doc_id ORDER BY l.ord) AS VARCHAR))) AS INTEGER), '0') AS section_id FROM levels l),
     up AS (SELECT doc_id, ord, ord AS anc FROM parents UNION ALL SELECT u.doc_id, u.ord, p.parent_ord FROM up u JOIN parents p ON p.doc_id = u.doc_id AND p.ord = u.anc WHERE p.parent_ord IS NOT NULL)"""
 _SECTIONS = f"WITH RECURSIVE {_LINES}, {_LEVELS}, {_TEXT}, {_TREE}, tree AS (SELECT p.*, s.text FROM parents p JOIN sections s ON s.doc_id = p.doc_id AND s.section_ord = p.ord)"
 
@@ -180,7 +180,7 @@ SQL: dict[str, str] = {
     "rule_filtered_sections": f"{_SECTIONS}, {_pruned(_DROPS, 'text')} SELECT doc_id, section_id, title FROM tree JOIN live USING (doc_id, ord)",
     "llm_filtered_sections": f"{_SECTIONS} SELECT doc_id, section_id, CASE WHEN ord % 3 = 1 THEN 'uncertain' ELSE 'keep' END AS decision FROM tree t WHERE NOT EXISTS (SELECT 1 FROM up u WHERE u.doc_id = t.doc_id AND u.ord = t.ord AND u.anc % 3 = 0)",
     "final_sections": f"{_SECTIONS}, {_pruned('false', _CLEAN)} SELECT doc_id, section_id, md5(final_text) AS text_md5 FROM flagged JOIN live USING (doc_id, ord)",
-    "table_render": "SELECT l_orderkey AS table_id, l_linenumber AS row_no, max(l_returnflag) || ' |  | ' || max_by(CASE WHEN l_partkey % 2 = 0 THEN 'even' ELSE CAST(l_partkey AS VARCHAR) END, l_partkey) AS row_text FROM lineitem GROUP BY 1, 2",
+    "table_render": "SELECT l_orderkey AS table_id, l_linenumber AS row_no, max_by(l_returnflag, (l_partkey, l_returnflag)) || ' |  | ' || max_by(CASE WHEN l_partkey % 2 = 0 THEN 'even' ELSE CAST(l_partkey AS VARCHAR) END, l_partkey) AS row_text FROM lineitem GROUP BY 1, 2",
     "claims_prompt_sections": f"""WITH {_LINES}, p AS (SELECT doc_id, ord, CASE WHEN ord % 2 = 0 THEN 'Part ' || ord ELSE 'Untitled Section' END AS name, trim(line, ' ') AS t FROM lines WHERE trim(line, ' ') <> '')
         SELECT doc_id, md5(string_agg('## ' || name || chr(10) || t, chr(10) || chr(10) ORDER BY ord)) AS sections_md5, string_agg(name, ', ' ORDER BY ord) AS available_sections FROM p GROUP BY 1""",
 }
