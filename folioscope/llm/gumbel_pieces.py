@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioscope.llm.arrow_text import map_batches, mix, slices, utf8
 
@@ -358,7 +359,7 @@ def sampled(table: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 def decoded(rows: DataFrame, *, ids_col: str = "ids", model: str = MODEL) -> DataFrame:
     """``rows`` with a column ``decoded``, the text of the ids; null where they are."""
-    schema = rows.schema.add("decoded", "string")
+    schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece

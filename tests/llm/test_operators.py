@@ -1,0 +1,411 @@
+"""The ten operators against brute force, round trips and held-out accuracy, and on awkward rows: nulls, empty, long and repeated texts, ties, clashing columns."""
+
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from folioscope.llm import bin_completion, block_naming, gumbel_pieces, html_crf, langid_ppm, probminhash, quality_ordinal, rpforest, token_rans, url_rules
+from folioscope.llm.arrow_text import mix, utf8, words
+from folioscope.llm.scratch import among, components
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, id long, size long, hash string, key string"
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, g, "s", 0, -1, -1, "h", "k") for i, t, g in rows], DOCS)
+
+
+AWKWARD = [(1, "the cat sat on the mat by the door", "en"), (2, None, "en"), (3, "", "en"), (4, " \n\t", None), (None, "the cat sat on the mat by the door", "en"), (5, "the cat sat on the mat by the door", "en"), (5, "the cat sat on the mat by the door", "en"), (6, "x" * 200_000, "en"), (7, "ein Satz über Äpfel " * 20_000, "de"), (8, "日本語 €😀", "ja")]
+
+
+def test_words_and_components(spark):
+    data, offsets = utf8(pa.array(["a b  a", None, "", " c\n", "a"]))
+    distinct, at, bounds = words(data, offsets)
+    assert [distinct[i].as_py() for i in at] == [b"a", b"b", b"a", b"c", b"a"] and bounds.tolist() == [0, 3, 3, 3, 4, 5]
+    rng = random.Random(3)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(7, 7), (None, 3), (400 + 1, 400)] + [(500 + i, 501 + i) for i in range(40)]
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and b is not None:
+            a, b = sorted((find(a), find(b)))
+            parent[b] = a
+    got = {r["id"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in parent}
+    keys = spark.range(0, 1000, 7).toDF("k")
+    held = {r["id"] for r in spark.range(1000).filter(among(F.col("id"), keys)).collect()}
+    assert set(range(0, 1000, 7)) <= held and len(held) < 300
+    assert spark.range(5).filter(among(F.col("id"), keys.limit(0))).count() == 0
+
+
+def ppm(texts, data, orders=3):
+    """Bits of ``data`` in one language, a byte at a time."""
+    counts = [defaultdict(Counter) for _ in range(orders + 1)]
+    for t in texts:
+        for i, b in enumerate(t):
+            for k in range(min(i, orders) + 1):
+                counts[k][t[i - k : i]][b] += 1
+    bits = 0.0
+    for i, b in enumerate(data):
+        p = 1.0
+        for k in range(min(i, orders), -1, -1):
+            c = counts[k].get(data[i - k : i])
+            if c is None:
+                continue
+            n, q = sum(c.values()), len(c)
+            if b in c:
+                p *= c[b] / (n + q)
+                break
+            p *= q / (n + q)
+        else:
+            p /= 256
+        bits -= np.log2(p)
+    return bits
+
+
+def test_language_codes_equal_brute_force():
+    texts = {"x": [b"abracadabra abra", b"cab"], "y": [b"lorem ipsum dolor", "né à l'été".encode()]}
+    model = langid_ppm.PpmModel(texts)
+    tried = ["abra", "lorem abra", "zé!", "", "dolor ipsum né"]
+    got = model.bits(*utf8(pa.array(tried)))
+    want = [[ppm(texts[k], t.encode()) for k in ("x", "y")] for t in tried]
+    assert np.allclose(got, want, atol=1e-3)
+
+
+def test_language_held_out_and_awkward(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    held = F.pmod(F.col("doc_id"), F.lit(3)) == 0
+    model = langid_ppm.fit(table.filter(~held))
+    found = langid_ppm.identify(table.filter(held), model).join(table, "doc_id").agg(F.avg((F.col("language") == F.col("lang")).cast("int")), F.avg(F.col("accepted").cast("int"))).first()
+    assert found[0] > 0.95 and found[1] > 0.95
+    odd = docs(spark, AWKWARD)
+    rows = langid_ppm.identify(odd, model).collect()
+    assert len(rows) == len(AWKWARD)
+    assert all((r["language"], r["bits_per_byte"], r["accepted"]) == ("und", None, False) for r in rows if r["doc_id"] in (2, 3))
+    kept = langid_ppm.accepted_documents(odd, model)
+    assert kept.columns == odd.columns and {r["doc_id"] for r in kept.collect()} >= {1, 5, None} and kept.filter("doc_id IN (2, 3)").count() == 0
+    none = langid_ppm.fit(odd.limit(0))
+    assert {r["language"] for r in langid_ppm.identify(odd, none).collect()} == {"und"} and langid_ppm.identify(odd.limit(0), model).count() == 0
+
+
+def test_url_rules(spark):
+    rng = random.Random(5)
+    labels = ["a", "b", "c", "com", "org"]
+    host = lambda: ".".join(rng.choice(labels) for _ in range(rng.randint(1, 4)))
+    path = lambda: "".join("/" + rng.choice("xyz") for _ in range(rng.randint(0, 4)))
+    pages = [(i, rng.choice(["http://", "HTTPS://www.", "//u@"]) + host() + rng.choice(["", ":80", "."]) + path() + rng.choice(["", "?q=/x", "#f"])) for i in range(400)] + [(400, None), (401, ""), (402, "http:///x"), (5, "http://a.com")]
+    rules = [(i, host() + path() if i % 2 else host(), f"act{i % 3}") for i in range(60)] + [(99, None, "deny"), (98, "", "deny"), (60, "com", "deny"), (61, "COM", "allow")]
+    table = spark.createDataFrame([(i, u, "r", "k") for i, u in pages], "page_id long, url string, range string, key string")
+    given = url_rules.rules_table(spark, rules)
+    got = url_rules.matched(table, given, ranges=7).collect()
+    keyed = {(r["page_id"], r["url"]): r["k"] for r in table.select("page_id", "url", url_rules.canonical_key(F.col("url")).alias("k")).collect()}
+    prefixes = {}
+    for r in given.select("rule_id", "action", url_rules.rule_key(F.col("rule")).alias("k")).orderBy("rule_id").collect():
+        if r["k"]:
+            prefixes.setdefault(r["k"], (r["rule_id"], r["action"]))
+    want = []
+    for p in pages:
+        k = keyed[p]
+        hits = [x for x in prefixes if k and k.startswith(x)]
+        top = max(hits, key=len, default=None)
+        want.append((p[0], k, *(prefixes[top] if top else (None, "allow")), len(hits)))
+    order = lambda rows: sorted(map(str, map(tuple, rows)))
+    assert order(got) == order(want) and any(w[2] for w in want)
+    assert url_rules.matched(table.limit(0), given).count() == 0 and url_rules.matched(table, given.limit(0)).filter("rule_id IS NOT NULL").count() == 0
+
+
+def test_quality(spark):
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("etaoin") for _ in range(rng.randint(2, 7)))
+    rows, labels = [], []
+    for i in range(500):
+        body, kind = [word() for _ in range(rng.randint(20, 120))], i % 5
+        if kind == 0:
+            body = [w + "$$$" for w in body]
+        elif kind == 1:
+            body[3] = "vile"
+        rows.append((i, " ".join(body), "en"))
+        labels.append((i, int(kind != 0), int(kind == 1)))
+    table, rated = docs(spark, rows), spark.createDataFrame([*labels, (None, 1, 0), (7, None, 0)], "doc_id long, quality int, toxic int")
+    grades = quality_ordinal.graded(rated)
+    model = quality_ordinal.fit(table, grades.filter("doc_id < 300"))
+    assert model.thresholds[0] < model.thresholds[1]
+    held = quality_ordinal.rate(table.filter("doc_id >= 300"), model).join(grades, "doc_id").collect()
+    assert np.mean([(r["tail"] >= 0.5) == (r["grade"] == 2) for r in held]) > 0.95
+    mean = [np.mean([r["expected_grade"] for r in held if r["grade"] == g]) for g in (0, 1, 2)]
+    assert mean[0] < mean[1] < mean[2]
+    odd = docs(spark, AWKWARD)
+    out = quality_ordinal.rate(odd, model).collect()
+    assert len(out) == len(AWKWARD) and all(r["tail"] is None and not r["accepted"] for r in out if r["doc_id"] in (2, 3))
+    assert quality_ordinal.accepted_documents(odd, model).columns == odd.columns
+    free = quality_ordinal.fit(table, grades.limit(0))
+    assert quality_ordinal.rate(table, free).filter("accepted").count() == 500
+
+
+def test_ordinal_gradient():
+    rng = np.random.default_rng(0)
+    idx, bounds = np.arange(40) % 7, np.arange(0, 41, 4)
+    shares, grade = rng.random((10, quality_ordinal.SHARES)), rng.integers(0, 3, 10)
+    seen = {}
+
+    def spy(f, x, steps):
+        v, g = f(x + 0.1)
+        at = [0, 5, len(x) - 2, len(x) - 1]
+        for i in at:
+            d = np.zeros(len(x))
+            d[i] = 1e-5
+            seen[i] = abs((f(x + 0.1 + d)[0] - f(x + 0.1 - d)[0]) / 2e-5 - g[i])
+        return x
+
+    old, quality_ordinal.minimise = quality_ordinal.minimise, spy
+    try:
+        quality_ordinal.fit_arrays(idx, bounds, shares, grade, 3)
+    finally:
+        quality_ordinal.minimise = old
+    assert max(seen.values()) < 1e-4
+
+
+def test_near_duplicates(spark):
+    rng = random.Random(2)
+    base = [[f"w{rng.randrange(4000)}" for _ in range(rng.randint(30, 150))] for _ in range(60)]
+    rows = []
+    for i, b in enumerate(base):
+        rows.append(" ".join(b))
+        for _ in range(i % 4):
+            c = list(b)
+            for _ in range(max(1, len(c) // rng.choice([12, 20, 40]))):
+                c[rng.randrange(len(c))] = f"n{rng.randrange(10**6)}"
+            rows.append(" ".join(c))
+    big = base[5]
+    rows += [" ".join([*big, f"extra{i}"]) for i in range(150)] + [" ".join(base[9])] * 3
+    table = docs(spark, [(i, t, "en") for i, t in enumerate(rows)])
+    sets = []
+    for t in rows:
+        text, item, weight = probminhash.shingles(*utf8(pa.array([t])))
+        sets.append((item, weight))
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    alike = [(i, j) for i in range(len(rows)) for j in range(i) if probminhash.similarity(sets[i], sets[j]) >= probminhash.THRESHOLD]
+    for i, j in alike:
+        a, b = sorted((find(i), find(j)))
+        parent[b] = a
+    got = {r["doc_id"]: r["group_id"] for r in probminhash.near_duplicates(table).collect()}
+    assert np.mean([got[i] == got[j] for i, j in alike]) > 0.95
+    assert all(find(i) == find(g) for i, g in got.items())
+    odd = docs(spark, AWKWARD)
+    kept = probminhash.without_near_duplicates(odd)
+    assert kept.columns == odd.columns and sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 7, 8]
+    assert probminhash.near_duplicates(odd).count() == len(AWKWARD) and probminhash.near_duplicates(odd.limit(0)).count() == 0
+
+
+def test_similarity_and_signatures():
+    rng = np.random.default_rng(1)
+    items = np.arange(500, dtype=np.uint64)
+    a, b = (items[:300], rng.integers(1, 5, 300)), (items[80:380], rng.integers(1, 5, 300))
+    x, y = dict(zip(a[0].tolist(), a[1].tolist())), dict(zip(b[0].tolist(), b[1].tolist()))
+    every = set(x) | set(y)
+    want = sum(1 / sum(max(x.get(k, 0) / x[d], y.get(k, 0) / y[d]) for k in every) for d in x if d in y)
+    assert abs(probminhash.similarity(a, b) - want) < 1e-9
+    sig = probminhash.signatures(np.repeat([0, 1], 300), np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]]), 2, 4096)
+    assert abs((sig[0] == sig[1]).mean() - want) < 0.03
+
+
+def test_token_round_trip(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").union(docs(spark, AWKWARD).select("doc_id", "text"))
+    out = token_rans.encoded(table.withColumn("ids", F.lit(1)), block=256).cache()
+    encoding = token_rans.tokenizer()
+    want = sorted(str((r["doc_id"], None if r["text"] is None else encoding.encode_ordinary(r["text"]))) for r in table.collect())
+    assert sorted(str((r["doc_id"], r["ids"])) for r in token_rans.decoded(out, block=256).collect()) == want
+    head = out.filter("n_tokens < 0").collect()
+    assert len(head) == 1 and out.count() == table.count() + 1
+    spoiled = out.withColumn("payload", F.when(F.col("n_tokens") > 50, F.expr("concat(substring(payload, 1, 40), X'00', substring(payload, 42, length(payload)))")).otherwise(F.col("payload")))
+    with pytest.raises(Exception):
+        token_rans.decoded(spoiled, block=256).collect()
+    assert token_rans.encoded(table.limit(0)).count() == 1
+
+
+def test_frequencies():
+    t = token_rans.Frequencies(np.array([10**9, 0, 1, 1] + [1] * 1000))
+    assert t.freq.sum() == 1 << token_rans.SCALE and t.freq[1] == 0 and (t.freq[[0, *range(2, 1004)]] > 0).all()
+    back = token_rans.Frequencies.unpacked(t.packed())
+    assert (back.freq == t.freq).all() and (back.start == t.start).all()
+
+
+HTML = "<html><head><title>T</title><script>var a='<p>no</p>'</script></head><body><nav><ul><li><a href=x>Home</a><li><a href=y>More</a></ul></nav><div class='main art'><p>One &amp; two words.<p>Then <b>bold</b> text<br>here.</div><!-- <p>gone</p> --><footer>c</footer>"
+
+
+def test_html(spark):
+    texts, feats = html_crf.blocks(HTML)
+    assert texts == ["Home", "More", "One & two words.", "Then bold text here.", "c"] and len(feats) == 5
+    for odd in ("", "plain", "<", "<p", "</p></div>", "<p>" * 3000 + "x", "<!-- open", "<script>x", "a<b>c"):
+        html_crf.blocks(odd)
+    pages, table = spark.read.parquet(f"{SF}/../sf0.01/pages.parquet"), spark.read.parquet(f"{SF}/../sf0.01/documents.parquet")
+    held = F.pmod(F.col("page_id"), F.lit(3)) == 0
+    model = html_crf.fit(html_crf.labelled_pages(pages.filter(~held), table))
+    right = total = 0
+    for r in html_crf.labelled_pages(pages.filter(held), table).collect():
+        texts, feats = html_crf.blocks(r["html"])
+        want = html_crf.label(texts, r["document"])
+        if sum(want):
+            right += sum(a == b for a, b in zip(want, model.decode(feats)))
+            total += len(want)
+    assert total > 200 and right / total > 0.97
+    odd = spark.createDataFrame([(1, None, "t"), (2, "", "t"), (3, HTML, "t"), (3, HTML, "t"), (None, "<p>a b c", "t")], "page_id long, html string, text string")
+    rows = html_crf.extracted(odd, model).collect()
+    assert [r["text"] for r in rows if r["page_id"] in (1, 2)] == [None, ""] and len(rows) == 5
+    assert html_crf.extracted(odd.limit(0), model).count() == 0 and html_crf.fit(html_crf.labelled_pages(pages.limit(0), table)).decode(feats)
+
+
+def test_viterbi_and_gradient():
+    rng = np.random.default_rng(3)
+    weight, step = rng.standard_normal((1 << html_crf.BITS, 2)), rng.standard_normal((2, 2))
+    field = html_crf.ChainField(weight, step)
+    feats = [[int(x) for x in rng.integers(0, 50, 4)] for _ in range(7)]
+    score = lambda y: sum(weight[f, v].sum() for f, v in zip(feats, y)) + sum(step[a, b] for a, b in zip(y, y[1:]))
+    best = max(([k >> i & 1 for i in range(7)] for k in range(128)), key=score)
+    assert field.decode(feats) == best
+
+
+def test_embeddings(spark):
+    rng = np.random.default_rng(4)
+    centre = rng.standard_normal((150, 16))
+    rows = [(i, c.tolist()) for i, c in enumerate(centre)] + [(1000 + i, (centre[i % 40] + 0.02 * rng.standard_normal(16)).tolist()) for i in range(200)] + [(2000 + i, centre[3].tolist()) for i in range(50)]
+    odd = [(5000, None), (5001, [0.0] * 16), (5002, [1.0] * 15), (5003, [float("nan")] * 16), (5004, [None] * 16), (None, [1.0] * 16)]
+    table = spark.createDataFrame([(i, v, 1, 2) for i, v in rows + odd], "vec_id long, embedding array<double>, label int, leaf int")
+    got = {r["vec_id"]: r["group_id"] for r in rpforest.groups(table, leaf=32).collect()}
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    i, j = np.nonzero(np.triu(x @ x.T >= rpforest.THRESHOLD, 1))
+    ids = [k for k, _ in rows]
+    assert np.mean([got[ids[a]] == got[ids[b]] for a, b in zip(i, j)]) > 0.95
+    parent = {k: k for k in ids}
+
+    def find(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for a, b in zip(i, j):
+        a, b = sorted((find(ids[a]), find(ids[b])))
+        parent[b] = a
+    assert all(find(k) == find(g) for k, g in got.items() if k in parent)
+    assert all(got[k] == k for k in range(5000, 5005)) and None not in got
+    assert rpforest.groups(table.limit(0)).count() == 0
+
+
+def test_linked_is_exact():
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((900, 4)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = np.arange(900)
+
+    def roots(a, b):
+        parent = list(range(900))
+
+        def find(k):
+            while parent[k] != k:
+                k = parent[k]
+            return k
+
+        for p, q in zip(a, b):
+            p, q = sorted((find(p), find(q)))
+            parent[q] = p
+        return [find(k) for k in range(900)]
+
+    assert roots(*rpforest.linked(ids, x, 0.995, leaf=64)) == roots(*np.nonzero(np.triu(x @ x.T >= 0.995, 1)))
+
+
+def test_packing(spark):
+    rng = random.Random(6)
+    for n, cap, low in ((9, 20, 3), (11, 30, 8), (10, 50, 5)):
+        for _ in range(15):
+            sizes = [rng.randint(low, cap) for _ in range(n)]
+            bins = bin_completion.pack(sizes, cap)
+            assert sorted(i for b in bins for i in b) == list(range(n)) and all(sum(sizes[i] for i in b) <= cap for b in bins)
+            assert len(bins) == least_bins(sizes, cap)
+    odd = docs(spark, AWKWARD)
+    rows = bin_completion.packed(odd, capacity=1000, shard=4).collect()
+    fill, spans = Counter(), defaultdict(list)
+    for r in rows:
+        fill[r["bin"]] += r["length"]
+        spans[r["doc_id"]].append((r["start"], r["length"]))
+    assert all(v <= 1000 for k, v in fill.items() if k is not None) and spans[2] == [(0, 0)] and spans[3] == [(0, 0)]
+    assert sorted(spans[6]) == [(k, 1000) for k in range(0, 200_000, 1000)] and len(spans[5]) == 2
+    assert bin_completion.packed(odd.limit(0)).count() == 0
+
+
+def least_bins(sizes, cap):
+    best = [len(sizes)]
+    sizes = sorted(sizes, reverse=True)
+
+    def put(i, bins):
+        if len(bins) >= best[0]:
+            return
+        if i == len(sizes):
+            best[0] = len(bins)
+            return
+        for r in set(bins):
+            if r >= sizes[i]:
+                rest = list(bins)
+                rest.remove(r)
+                put(i + 1, [*rest, r - sizes[i]])
+        put(i + 1, [*bins, cap - sizes[i]])
+
+    put(0, [])
+    return best[0]
+
+
+def test_sampled_pieces(spark):
+    pieces = gumbel_pieces.Pieces()
+    n = 3000
+    got = gumbel_pieces.sample_batch(pieces, *utf8(pa.array(["them"] * n)), mix(np.arange(n).astype(np.uint64)), 2)
+    chance = {tuple(s[0].tolist()): np.exp(s[1]) for x in got for s in x}
+    assert abs(sum(chance.values()) - 1) < 0.01
+    first, second = (Counter(tuple(x[k][0].tolist()) for x in got) for k in (0, 1))
+    for way, p in chance.items():
+        assert abs(first[way] / n - p) < 0.03
+        assert abs(second[way] / n - sum(q * p / (1 - q) for w, q in chance.items() if w != way)) < 0.03
+    odd = docs(spark, AWKWARD)
+    rows = gumbel_pieces.decoded(gumbel_pieces.sampled(odd, k=3)).join(odd.select(F.col("doc_id").alias("d"), F.col("text").alias("t")).distinct(), F.col("doc_id") == F.col("d")).collect()
+    assert all(r["decoded"] == r["t"] for r in rows)
+    ways = defaultdict(list)
+    for r in rows:
+        ways[r["doc_id"]].append(tuple(r["ids"] or ()))
+        assert r["inclusion"] is None or 0 < r["inclusion"] <= 1
+    assert len(set(ways[1])) == 3 and ways[3] == [()] and ways[2] == [()] and len(ways[5]) == 6
+    again = gumbel_pieces.sampled(odd.repartition(3), k=3).filter("doc_id = 1").orderBy("sample").collect()
+    assert [tuple(r["ids"]) for r in again] == [w for _, w in sorted((r["sample"], tuple(r["ids"])) for r in rows if r["doc_id"] == 1)]
+    assert gumbel_pieces.sampled(odd.limit(0)).count() == 0
+
+
+def test_exact_duplicates(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randint(0, 6))) for _ in range(120)] + ["é" * 50, "é" * 50, "e" * 100, "x" * 64 + "y", "x" * 64 + "z", "x" * 65, None, None]
+    rows = [(i % 100, t, "en") for i, t in enumerate(texts)]
+    table = docs(spark, rows)
+    got = Counter((r["doc_id"], r["keep_id"], r["copies"]) for r in block_naming.duplicates(table, block=2).collect())
+    n, least = Counter(texts), {}
+    for i, t, _ in rows:
+        least[t] = min(least.get(t, i), i)
+    assert got == Counter((i, i if t is None else least[t], 1 if t is None else n[t]) for i, t, _ in rows)
+    kept = block_naming.without_copies(table, block=2)
+    assert kept.columns == table.columns
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter({(least[t], t): 1 for t in n if t is not None} | {(i, None): 1 for i, t, _ in rows if t is None})
+    odd = docs(spark, AWKWARD)
+    assert sorted(r["doc_id"] or 0 for r in block_naming.without_copies(odd).collect()) == [1, 2, 3, 4, 6, 7, 8]
+    assert block_naming.duplicates(odd.limit(0)).count() == 0 and block_naming.without_copies(odd.limit(0)).count() == 0
