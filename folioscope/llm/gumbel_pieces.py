@@ -205,7 +205,7 @@ def _gumbel(u: np.ndarray) -> np.ndarray:
 
 
 def sample_batch(pieces: Pieces, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
-    """For each text up to ``k`` of (ids, log-probability, perturbed log-probability, inclusion probability), best first."""
+    """For each text up to ``k`` of (ids, log-probability, perturbed log-probability, log of the inclusion probability), best first."""
     distinct, bounds, at, firsts = parts(data, offsets)
     lattice = Lattice(pieces, distinct, bounds)
     n = len(keys)
@@ -283,7 +283,8 @@ def sample_batch(pieces: Pieces, data: np.ndarray, offsets: np.ndarray, keys: np
         rows = []
         for (way, _), value in zip(paths[i], keyed[i]):
             log = float(lattice.log[way].sum())
-            chance = 1.0 if limit == -np.inf else float(-np.expm1(-np.exp(min(50.0, log - limit))))
+            over = log - limit
+            chance = 0.0 if limit == -np.inf else over if over < -30 else float(np.log(-np.expm1(-np.exp(min(50.0, over)))))
             rows.append((way, log, float(value), chance))
         out.append([(_ids(pieces, lattice, distinct, way), *x) for way, *x in rows])
     return out
@@ -326,9 +327,10 @@ def _ids(pieces: Pieces, lattice: Lattice, data: np.ndarray, way: np.ndarray) ->
 
 
 def sampled(table: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = SAMPLES, model: str = MODEL, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
-    """(id, sample, ids, log_prob, key, inclusion): up to ``k`` distinct segmentations of each row, fewer where there are fewer.
+    """(id, sample, ids, log_prob, key, log_inclusion): up to ``k`` distinct segmentations of each row, fewer where there are fewer.
 
-    ``inclusion`` is the chance that a segmentation is among the k, given the key of the next one, and weighs estimates from the sample.
+    ``log_inclusion`` is the log of the chance that a segmentation is among the k, given the key of the next one, and weighs estimates from the
+    sample; a long text's chances are too small for anything but their logs.
     What is drawn depends on the row's id, its text's length, and ``seed`` alone. An empty text has one segmentation, without pieces; a null text has one row
     with null ``ids`` and scores. Repeated rows give repeated results; other columns are ignored.
     """
@@ -352,9 +354,9 @@ def sampled(table: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 lists = pa.ListArray.from_arrays(ends, values, mask=pa.array(empty))
                 number = np.concatenate([np.arange(1, len(x) + 1) for x in got] or [np.zeros(0)])
                 score = [pa.array(np.array([s[j] for s in flat], float), mask=empty) for j in (1, 2, 3)]
-                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(row)), pa.array(number.astype(np.int32)), lists, *score], names=["id", "sample", "ids", "log_prob", "key", "inclusion"])
+                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(row)), pa.array(number.astype(np.int32)), lists, *score], names=["id", "sample", "ids", "log_prob", "key", "log_inclusion"])
 
-    return map_batches(one, run, f"id {kind}, sample int, ids array<int>, log_prob double, key double, inclusion double").withColumnRenamed("id", id_col)
+    return map_batches(one, run, f"id {kind}, sample int, ids array<int>, log_prob double, key double, log_inclusion double").withColumnRenamed("id", id_col)
 
 
 def decoded(rows: DataFrame, *, ids_col: str = "ids", model: str = MODEL) -> DataFrame:

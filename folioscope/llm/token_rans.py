@@ -268,7 +268,7 @@ def decoded(rows: DataFrame, *, id_col: str = "doc_id", block: int = BLOCK) -> D
 
     named = written(rows.filter("n_tokens >= 0").withColumn("row", F.monotonically_increasing_id()), "encoded")
     blocks = named.select("row", "n_tokens", "payload", "checkpoints", F.posexplode("checkpoints").alias("pos", "c"))
-    blocks = blocks.select("row", F.col("c.token").alias("token"), F.least(F.lit(block), F.col("n_tokens") - F.col("c.token")).alias("n"), F.col("c.crc").alias("crc"), F.expr("substring(payload, cast(c.byte as int) + 1, cast(coalesce(checkpoints[pos + 1].byte, length(payload)) - c.byte as int))").alias("part"))
+    blocks = blocks.select("row", F.col("c.token").alias("token"), F.least(F.lit(block), F.col("n_tokens") - F.col("c.token")).alias("n"), F.col("c.crc").alias("crc"), F.expr("substring(payload, cast(c.byte as int) + 1, cast(coalesce(get(checkpoints, pos + 1).byte, length(payload)) - c.byte as int))").alias("part"))
     ids = map_batches(blocks, run, "row long, token long, ids array<long>").groupBy("row").agg(F.flatten(F.expr("transform(array_sort(collect_list(struct(token, ids))), x -> x.ids)")).alias("ids"))
     none = F.when(F.col("payload").isNotNull(), F.expr("cast(array() as array<long>)"))
     return named.join(ids, "row", "left").select(id_col, F.coalesce("ids", none).alias("ids"))

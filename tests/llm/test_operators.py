@@ -386,7 +386,7 @@ def test_sampled_pieces(spark):
     ways = defaultdict(list)
     for r in rows:
         ways[r["doc_id"]].append(tuple(r["ids"] or ()))
-        assert r["inclusion"] is None or 0 < r["inclusion"] <= 1
+        assert r["log_inclusion"] is None or -np.inf < r["log_inclusion"] <= 0
     assert len(set(ways[1])) == 3 and ways[3] == [()] and ways[2] == [()] and len(ways[5]) == 6
     again = gumbel_pieces.sampled(odd.repartition(3), k=3).filter("doc_id = 1").orderBy("sample").collect()
     assert [tuple(r["ids"]) for r in again] == [w for _, w in sorted((r["sample"], tuple(r["ids"])) for r in rows if r["doc_id"] == 1)]
