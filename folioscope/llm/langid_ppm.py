@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.arrow_text import map_batches, per_text, slices, utf8, with_columns
+from folioscope.llm.arrow_text import give_back, map_batches, per_text, slices, utf8, with_columns
 
 ORDER = 3
 SLICE = 1_000_000
@@ -26,8 +26,11 @@ SLACK_BITS = 256.0  # a short text may hold a name or number that no language ex
 class PpmModel:
     """Frozen statistics: ``cost[row, class, language]`` in bits and the row of each three-byte context."""
 
-    def __init__(self, texts: dict[str, list[bytes]], contexts: int = 16_000):
+    def __init__(self, texts: dict[str, list[bytes]], contexts: int = 8_000):
         self.languages = sorted(texts)
+        self.most_bits = 8.0
+        if not texts:
+            return
         joined = {k: b"".join(v) for k, v in texts.items()}
         seen = np.zeros(256, bool)
         for v in joined.values():
@@ -36,10 +39,9 @@ class PpmModel:
         self.classes[seen] = np.arange(1, seen.sum() + 1)
         c = self.width = int(seen.sum()) + 1
         n = len(self.languages)
-        probability = [np.full((1, c, n), 1 / 256)]  # of order -1; class 0 stands for every byte that no sample has
+        probability = [np.full((1, c, n), 1 / 256, np.float32)]  # of order -1; class 0 stands for every byte that no sample has
         index = np.zeros(c**3, np.int32)
         tables: list[np.ndarray] = []
-        keys_of: list[np.ndarray] = []
         grams = []
         for lang in self.languages:
             data = self.classes[np.frombuffer(joined[lang], np.uint8)]
@@ -62,29 +64,27 @@ class PpmModel:
                 every = every[most]
             elif k == 2:
                 every = every[np.sort(np.argsort(-weight, kind="stable")[: contexts // 2])]
-            count = np.zeros((len(every), c, n))
+            count = np.zeros((len(every), c, n), np.float32)
             for lang, (u, m) in enumerate(counted):
                 at = np.searchsorted(every, u // c)
                 hit = (at < len(every)) & (every[np.minimum(at, max(0, len(every) - 1))] == u // c) if len(every) else np.zeros(len(u), bool)
                 count[at[hit], u[hit] % c, lang] = m[hit]
             if k == 0:
-                every, count = np.zeros(1, np.int64), count if len(count) else np.zeros((1, c, n))
+                every, count = np.zeros(1, np.int64), count if len(count) else np.zeros((1, c, n), np.float32)
                 lower = probability[0]
             elif k == 1:
                 lower = np.broadcast_to(tables[0], (len(every), c, n))
             else:  # the row of the context one byte shorter, or of the longest that there is
-                lower = np.concatenate(tables)[index[every % c ** (k - 1)]] if k > 1 else None
-            sums, kinds = count.sum(1, keepdims=True), (count > 0).sum(1, keepdims=True)
+                lower = np.concatenate(tables)[index[every % c ** (k - 1)]]
+            sums, kinds = count.sum(1, keepdims=True), (count > 0).sum(1, keepdims=True, dtype=np.float32)
             with np.errstate(divide="ignore", invalid="ignore"):
                 table = np.where(sums == 0, lower, np.where(count > 0, count / (sums + kinds), kinds / (sums + kinds) * lower))
-            tables.append(table)
-            keys_of.append(every)
+            tables.append(table.astype(np.float32))
             if k:
                 index.reshape(-1, c**k)[:, every] = total_rows + np.arange(len(every))
             total_rows += len(every)
         self.index = index
-        self.cost = (-np.log2(np.concatenate(tables))).astype(np.float32).reshape(-1, n)
-        self.most_bits = 8.0
+        self.cost = -np.log2(np.concatenate(tables)).reshape(-1, n)
 
     @staticmethod
     def _before(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -108,7 +108,7 @@ class PpmModel:
         return per_text(self.cost[row * np.int64(self.width) + cls], offsets)
 
 
-def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 300, contexts: int = 16_000) -> PpmModel:
+def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 300, contexts: int = 8_000) -> PpmModel:
     """Fit on at most ``per_language`` labelled rows of each language, those with the least hash of their id.
 
     Rows whose language or text is null or empty teach nothing. With no labelled row at all the model knows no language.
@@ -124,6 +124,8 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     model = PpmModel(texts, contexts)
     per_byte = [model.bits(*utf8(pa.array([t.decode() for t in v]))).min(1) / np.array([len(t) for t in v]) for v in texts.values()]
     model.most_bits = float(min(8.0, 2.0 * np.quantile(np.concatenate(per_byte), 0.99)))
+    del drawn, texts, per_byte
+    give_back()
     return model
 
 

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.arrow_text import hashes, map_batches, slices, utf8, with_columns, words
+from folioscope.llm.arrow_text import give_back, hashes, map_batches, slices, utf8, with_columns, words
 from folioscope.llm.lbfgs import minimise
 
 BITS = 18
@@ -146,11 +146,13 @@ def fit(docs: DataFrame, ratings: DataFrame, *, grades: int = 3, most_rated: int
     got = map_batches(both, run, "rated long, grade int, idx array<int>, shares array<double>").toArrow().sort_by("rated")
     if not got.num_rows:
         return OrdinalModel(np.zeros(1 << BITS, np.float32), np.zeros(SHARES), np.full(grades - 1, -50.0))
-    idx = got.column("idx").combine_chunks()
-    idx = idx if isinstance(idx, pa.Array) else idx.chunk(0)
+    got = got.combine_chunks()
+    idx, flat = (got.column(c).chunk(0) for c in ("idx", "shares"))
     bounds = np.concatenate([[0], np.cumsum(idx.value_lengths().to_numpy(zero_copy_only=False))])
-    shares = np.array(got.column("shares").to_pylist())
-    return fit_arrays(idx.flatten().to_numpy().astype(np.int64), bounds, shares, got.column("grade").to_numpy().astype(np.int64), grades)
+    model = fit_arrays(idx.flatten().to_numpy().astype(np.int64), bounds, flat.flatten().to_numpy().reshape(-1, SHARES), got.column("grade").to_numpy().astype(np.int64), grades)
+    del got, idx, flat
+    give_back()
+    return model
 
 
 def rate(docs: DataFrame, model: OrdinalModel, *, least_tail: float = 0.5) -> DataFrame:
