@@ -15,12 +15,16 @@ from pyspark.sql import Window
 
 from folioscope.llm.scratch import among, written
 
-BLOCK = 4096
+BLOCK, PREFIX = 4096, 48
 
 
 def _named(df: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """The distinct ``keys`` with an integer ``name`` each, increasing in sort order: written, so that a name never changes."""
-    ranged = df.select(*keys).distinct().repartitionByRange(*keys).sortWithinPartitions(*keys)
+    """The distinct ``keys`` with an integer ``name`` each, increasing in sort order: written, so that a name never changes.
+
+    Ranges are cut by the beginning of a block, as the keys that set their ends are sampled to the driver; the order is that of whole blocks.
+    """
+    ranges = [F.substring(k, 1, PREFIX) if df.schema[k].dataType == T.BinaryType() else F.col(k) for k in keys]
+    ranged = df.select(*keys).distinct().repartitionByRange(*ranges).sortWithinPartitions(*keys)
     return written(ranged.select(*keys, F.monotonically_increasing_id().alias("name")), label)
 
 
