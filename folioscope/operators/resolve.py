@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions.text import base_name, doi_within, match_key, parsed_base_name, title_hint
+from folioscope.lineage import cut
 
 LEAST_KEY, LEAD, BLOCK = 24, 8, 12
 
@@ -36,7 +37,7 @@ def _contained(short: DataFrame, long: DataFrame) -> DataFrame:
     own = long.filter(F.length("key") >= LEAST_KEY).select(F.col("id").alias("lid"), F.col("key").alias("lkey"))
     pieces = s.select("sid", "skey", F.explode(runs("skey", f"(.{{{BLOCK}}})")).alias("run")).distinct()
     spread = own.select("lid", F.explode(F.array_distinct(runs("lkey", f"(?=(.{{{BLOCK}}}))"))).alias("run"))
-    common = spread.join(pieces.select("run").distinct(), "run", "left_semi")
+    common = cut(spread.join(pieces.select("run").distinct(), "run", "left_semi"))
     often = common.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
     best = pieces.join(often, "run", "left").groupBy("sid", "skey").agg(F.min_by("run", F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("run"))).alias("run"))
     hits = best.join(common, "run").join(own, "lid").filter(F.contains("lkey", "skey"))
@@ -53,7 +54,7 @@ def partial_pairs(items: DataFrame, records: DataFrame) -> DataFrame:
 
 def partial_titles(items: DataFrame, records: DataFrame) -> DataFrame:
     """(item, base_name, score): the only one, or one that leads by 8, or of those with the top score the most cited."""
-    pairs = partial_pairs(items, records)
+    pairs = cut(partial_pairs(items, records))
     w = Window.partitionBy("item")
     best = pairs.withColumn("top", F.max("score").over(w)).withColumn("second", F.nth_value("score", 2).over(w.orderBy(F.desc("score"), "base_name").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     clear = best.filter("score = top AND (second IS NULL OR top - second >= 8)").select("item", "base_name", "score")
@@ -74,16 +75,16 @@ def resolved(files: DataFrame, metadata: DataFrame, bib: DataFrame, relations: D
     one = f.filter("named IS NOT NULL").select("file", F.col("named").alias("base_name"), F.lit("named").alias("strategy"))
     left = f.filter("named IS NULL")
     two = left.join(known, "doi").select("file", "base_name", F.lit("doi").alias("strategy"))
-    left = left.join(two, "file", "left_anti")
+    two, left = cut(two), cut(left.join(two, "file", "left_anti"))
     cited = metadata.groupBy("doi", "base_name").agg(F.max("citations").alias("citations"))
     sources = [("bib", bib.join(cited, "doi").select("base_name", "key", "citations")), ("relations", relations.join(cited.drop("doi"), "base_name", "left").select("base_name", "key", "citations")), ("metadata", metadata.select("base_name", "key", "citations"))]
     out = one.union(two)
     for name, records in sources:
         items = left.select(F.col("file").alias("item"), "key")
-        got = exact_titles(items, records).select(F.col("item").alias("file"), "base_name", F.lit(f"{name}_exact").alias("strategy"))
-        left = left.join(got, "file", "left_anti")
-        part = partial_titles(left.select(F.col("file").alias("item"), "key"), records).select(F.col("item").alias("file"), "base_name", F.lit(f"{name}_partial").alias("strategy"))
-        left = left.join(part, "file", "left_anti")
+        got = cut(exact_titles(items, records).select(F.col("item").alias("file"), "base_name", F.lit(f"{name}_exact").alias("strategy")))
+        left = cut(left.join(got, "file", "left_anti"))
+        part = cut(partial_titles(left.select(F.col("file").alias("item"), "key"), records).select(F.col("item").alias("file"), "base_name", F.lit(f"{name}_partial").alias("strategy")))
+        left = cut(left.join(part, "file", "left_anti"))
         out = out.union(got).union(part)
     return out.union(left.select("file", F.lit(None).cast("string"), F.lit(None).cast("string")))
 

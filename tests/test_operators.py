@@ -192,3 +192,14 @@ def test_files(spark, tmp_path):
     (tmp_path / "m" / "b.json").write_text('{"doi": "10.1/a", "title": "Two"}')
     (tmp_path / "m" / "c.json").write_text("{nope")
     assert [(r["doi"], r["title"]) for r in files.metadata_index(files.metadata(spark, str(tmp_path / "m"))).collect()] == [("10.1/a", "Two")]
+
+
+def test_resolved(spark):
+    long_ = "A long enough title about the gut microbiome of mice"
+    f = lambda t: T.match_key(F.lit(t))
+    meta = spark.createDataFrame([("10.1/a", "doi-10.1-a", "Alpha study", 5), ("10.1/b", "doi-10.1-b", "Beta study", 7), ("10.1/c", "doi-10.1-c", long_, 9)], "doi string, base_name string, title string, citations int").withColumn("key", T.match_key(F.col("title"))).drop("title")
+    bib = spark.range(1).select(F.lit("10.1/b").alias("doi"), f("Beta: bibliography").alias("key"))
+    relations = spark.range(1).select(F.lit("doi-10.1-a").alias("base_name"), f("attached").alias("key"))
+    names = ["doi-10.1-z.pdf", "D9__doi-10.1-y.pdf", "Beta bibliography.pdf", "attached.pdf", "X - 2004 - Alpha study.pdf", long_[:40] + ".pdf", "unknown.pdf"]
+    got = {r["file"]: (r["base_name"], r["strategy"]) for r in resolve.resolved(spark.createDataFrame([(n,) for n in names], "file string"), meta, bib, relations).collect()}
+    assert [got[n] for n in names] == [("doi-10.1-z", "named"), ("doi-10.1-y", "named"), ("doi-10.1-b", "bib_exact"), ("doi-10.1-a", "relations_exact"), ("doi-10.1-a", "metadata_exact"), ("doi-10.1-c", "metadata_partial"), (None, None)]
