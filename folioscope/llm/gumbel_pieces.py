@@ -125,6 +125,7 @@ class Lattice:
             to = cursor[begin]
             self.stop[to], piece[to] = stop, which
             cursor[begin] += 1
+        del found, cursor
         self.start = np.repeat(np.arange(n), many)
         self.id = np.where(piece >= 0, pieces.id[piece], -1)
         weight = np.where(piece >= 0, pieces.weight[piece], pieces.byte_weight * (self.stop - self.start))
@@ -341,7 +342,7 @@ def sampled(table: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         pieces = None
         for batch in batches:
             pieces = pieces or Pieces(model, temperature)
-            for part in slices(batch, most=4_000_000):
+            for part in slices(batch, most=3_000_000):
                 data, offsets = utf8(part.column("text"))
                 keys = part.column("seed").to_numpy().view(np.uint64)
                 got = sample_batch(pieces, data, offsets, keys, k)
