@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from folioscope.llm.arrow_text import map_batches, slices
 from folioscope.llm.lbfgs import minimise
+from folioscope.llm.scratch import drawn
 
 BITS = 14
 SAMPLE = 800
@@ -222,9 +223,9 @@ def label(texts: list[str], document: str) -> list[int]:
 def labelled_pages(pages: DataFrame, docs: DataFrame, *, most: int = SAMPLE) -> DataFrame:
     """(html, document) of at most ``most`` pages, those of least hash, whose address ends in the number of a document."""
     number = F.regexp_extract(F.regexp_replace("url", r"[?#].*$", ""), r"/(\d{1,18})(?:\.html)?/?$", 1)
-    drawn = pages.filter("html is not null").withColumn("number", F.when(number != "", number).cast("long"))
-    drawn = drawn.filter("number is not null").select("page_id", "html", "number").orderBy(F.xxhash64("page_id"), "page_id").limit(most)
-    return docs.select("doc_id", F.col("text").alias("document")).join(F.broadcast(drawn), F.col("doc_id") == F.col("number")).select("page_id", "html", "document").filter("document is not null")
+    known = pages.filter("html is not null").withColumn("number", F.when(number != "", number).cast("long"))
+    few = drawn(known.filter("number is not null").select("page_id", "html", "number"), F.col("page_id"), most)
+    return docs.select("doc_id", F.col("text").alias("document")).join(F.broadcast(few), F.col("doc_id") == F.col("number")).select("page_id", "html", "document").filter("document is not null")
 
 
 def fit(labelled: DataFrame) -> ChainField:

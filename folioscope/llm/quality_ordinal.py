@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from folioscope.llm.arrow_text import give_back, hashes, map_batches, slices, utf8, with_columns, words
 from folioscope.llm.lbfgs import minimise
+from folioscope.llm.scratch import drawn
 
 BITS = 18
 SHARES = 64  # the last three are repetition, capitals and words without a letter or digit
@@ -132,8 +133,8 @@ def fit(docs: DataFrame, ratings: DataFrame, *, grades: int = 3, most_rated: int
 
     ``ratings`` has doc_id and grade (0 to grades - 1). With none the model scores 0 with thresholds far below, so it rejects nothing.
     """
-    drawn = F.broadcast(ratings.select(F.col("doc_id").alias("rated"), "grade").orderBy(F.xxhash64("rated"), "rated").limit(most_rated))
-    both = docs.select("doc_id", "text").join(drawn, F.col("doc_id") == F.col("rated")).select("rated", "grade", "text").filter("text is not null")
+    few = F.broadcast(drawn(ratings.select(F.col("doc_id").alias("rated"), "grade"), F.col("rated"), most_rated))
+    both = docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("rated")).select("rated", "grade", "text").filter("text is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

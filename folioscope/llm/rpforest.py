@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.arrow_text import map_batches
-from folioscope.llm.scratch import components, written
+from folioscope.llm.scratch import components, drawn, written
 
 TREES, LEAF, SPILL = 12, 256, 0.05
 THRESHOLD = 0.95
@@ -133,8 +133,8 @@ def groups(table: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embed
     width, n = shape["w"], shape["n"]
     depth = max(0, int(np.ceil(np.log2(n / leaf))))
     want = min(most_sampled, max(4096, per_leaf * 2**depth))
-    drawn = one.filter(F.size("v") == width).orderBy(F.xxhash64("id"), "id").limit(want).select("v").toArrow()
-    x, ok = vectors(drawn.column("v"), width)
+    few = drawn(one.filter(F.size("v") == width), F.col("id"), want).select("v").toArrow()
+    x, ok = vectors(few.column("v"), width)
     forest = one.sparkSession.sparkContext.broadcast(Forest(x[ok], depth, trees, spill))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.llm.arrow_text import map_batches
+from folioscope.llm.scratch import drawn
 
 AFTER = "\U0010ffff"  # ends the interval of a prefix
 
@@ -85,9 +86,8 @@ def matched(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", url_
     given = given.groupBy("key").agg(F.min_by("action", "rule_id").alias("action"), F.min("rule_id").alias("rule_id"))
     n = ranges or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # a bounded sample of the keys: those of least hash, whole ties kept apart by the key
-    drawn = [r[0] for r in have.select("key").orderBy(F.xxhash64("key", "id")).limit(sample).collect()]
-    drawn.sort()
-    ends = sorted({drawn[len(drawn) * i // n] for i in range(1, n)}) if drawn else []
+    keys = sorted(r[0] for r in drawn(have.select("key", "id"), F.struct("key", "id"), sample).select("key").collect())
+    ends = sorted({keys[len(keys) * i // n] for i in range(1, n)}) if keys else []
     shared = spark.sparkContext.broadcast(ends)
 
     @F.pandas_udf("int")
