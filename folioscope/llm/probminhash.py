@@ -115,34 +115,50 @@ def signed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
     return map_batches(one, run, "id long, whole long, bands array<long>, sig binary")
 
 
-def _reached(m: int, threshold: float):
-    """Within one bucket, breadth-first: each signature taken up is compared with all that none has reached yet."""
+def _spanned(m: int, low: float, high: float):
+    """Within one bucket, breadth-first by estimates of ``high``, which are final: each signature taken up is compared with all that none has
+    reached yet. What a search has reached is one group, and each of its pairs of at least ``low`` with what it hasn't is left to be settled."""
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("id")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)).sort_by("id")
         ids = table.column("id").to_numpy()
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(len(ids), m)
-        left = np.arange(len(ids))
-        a, b = [], []
+
+        def estimates(i: int, others: np.ndarray) -> np.ndarray:
+            return np.concatenate([np.zeros(0), *((sig[others[k : k + 50_000]] == sig[i]).mean(1) for k in range(0, len(others), 50_000))])
+
+        left, found, size = np.arange(len(ids)), [], 0
         while len(left):
-            todo, left = [left[0]], left[1:]
-            while todo and len(left):
-                i = todo.pop()
-                like = np.concatenate([(sig[left[k : k + 50_000]] == sig[i]).mean(1) for k in range(0, len(left), 50_000)]) >= threshold
-                a += [ids[i]] * int(like.sum())
-                b += ids[left[like]].tolist()
-                todo += left[like].tolist()
+            group, left, at = [left[0]], left[1:], 0
+            while at < len(group):
+                like = estimates(group[at], left) >= high
+                found.append((ids[group[at]], ids[left[like]]))
+                group += left[like].tolist()
                 left = left[~like]
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                at += 1
+            for i in group:
+                found.append((ids[i], ids[left[estimates(i, left) >= low]]))
+                size += len(found[-1][1])
+                if size > 100_000:
+                    yield _edges(found)
+                    found, size = [], 0
+        yield _edges(found)
 
     return run
 
 
+def _edges(found: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    a = np.repeat(np.array([i for i, _ in found], np.int64), [len(x) for _, x in found])
+    b = np.concatenate([np.zeros(0, np.int64), *(x for _, x in found)])
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def candidates(heads: DataFrame, table: DataFrame, *, m: int = COMPONENTS, threshold: float = THRESHOLD) -> DataFrame:
     """Distinct pairs (a < b) of the nodes ``heads`` that agree in a band; ``table`` has the signatures.
 
-    Equal buckets count once. A bucket of up to 64 nodes gives all its pairs. A larger one gives the pairs by which a breadth-first
-    search over its signatures reaches every node, so that its groups are whole though it isn't squared.
+    Equal buckets count once. A bucket of up to 64 nodes gives all its pairs. A larger one gives the pairs by which breadth-first searches
+    over its signatures, by estimates that leave no doubt, reach every node, and all pairs in doubt between what two searches reached. So
+    its groups are whole, and copies without doubt aren't squared.
     """
     rows = heads.select("id", F.explode("bands").alias("key"))
     buckets = rows.groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("ids")).filter(F.size("ids") > 1).select("ids").distinct()
@@ -151,7 +167,7 @@ def candidates(heads: DataFrame, table: DataFrame, *, m: int = COMPONENTS, thres
     few = few.select("a", F.explode(F.expr("slice(ids, p + 2, size(ids))")).alias("b"))
     many = buckets.filter(F.size("ids") > PAIRWISE).select(F.xxhash64("ids").alias("bucket"), F.explode("ids").alias("id"))
     sigs = table.select("id", "sig").filter(among(F.col("id"), many.select("id").distinct()))
-    spanned = many.join(sigs, "id").groupBy("bucket").applyInArrow(_reached(m, threshold - DOUBT), "a long, b long")
+    spanned = many.join(sigs, "id").groupBy("bucket").applyInArrow(_spanned(m, threshold - DOUBT, threshold + DOUBT), "a long, b long")
     return few.union(spanned.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
 
 

@@ -213,6 +213,42 @@ def test_near_duplicates(spark):
     assert probminhash.near_duplicates(odd).count() == len(AWKWARD) and probminhash.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_near_duplicates_in_large_buckets(spark):
+    """Hundreds of texts share a passage, so that most pairs in a band's buckets of over 64 are in doubt; some pairs are alike."""
+    rng = random.Random(4)
+    shared = [f"s{i}" for i in range(92)]
+    rows = []
+    for i in range(300):
+        own = [f"o{i}x{j}" for j in range(60)]
+        rows += [" ".join([*shared, *own]), " ".join([*shared, *own[:13], *(f"p{i}x{j}" for j in range(47))])]
+    rng.shuffle(rows)
+    text, item, weight = probminhash.shingles(*utf8(pa.array(rows)))
+    at = np.searchsorted(text, np.arange(len(rows) + 1))
+    sets = [(item[i:j], weight[i:j]) for i, j in zip(at, at[1:])]
+    sig = probminhash.signatures(text, item, weight, len(rows))
+    bands = [defaultdict(list) for _ in range(probminhash.COMPONENTS // probminhash.ROWS)]
+    for i, s in enumerate(sig):
+        for j, bucket in enumerate(bands):
+            bucket[s[j * probminhash.ROWS : (j + 1) * probminhash.ROWS].tobytes()].append(i)
+    assert max(len(x) for b in bands for x in b.values()) > probminhash.PAIRWISE
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    low, high = probminhash.THRESHOLD - probminhash.DOUBT, probminhash.THRESHOLD + probminhash.DOUBT
+    for a, b in {(a, b) for bucket in bands for x in bucket.values() for k, a in enumerate(x) for b in x[k + 1 :]}:
+        estimate = (sig[a] == sig[b]).mean()
+        if estimate >= high or estimate >= low and probminhash.similarity(sets[a], sets[b]) >= probminhash.THRESHOLD:
+            x, y = sorted((find(a), find(b)))
+            parent[y] = x
+    got = {r["doc_id"]: r["group_id"] for r in probminhash.near_duplicates(docs(spark, [(i, t, "en") for i, t in enumerate(rows)])).collect()}
+    assert got == {i: find(i) for i in range(len(rows))}
+    assert 200 < len(set(got.values())) < 500
+
+
 def test_similarity_and_signatures():
     rng = np.random.default_rng(1)
     items = np.arange(500, dtype=np.uint64)
