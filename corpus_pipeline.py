@@ -13,7 +13,7 @@ from folioscope.llm.scratch import written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose chance of the top grade is at least one half."""
+    """Documents whose chance of the top grade is at least ``quality_ordinal.LEAST_TAIL``."""
     ratings = quality_ordinal.graded(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality_ordinal.accepted_documents(docs, quality_ordinal.fit(docs, ratings))
 

@@ -1,10 +1,12 @@
 """The ten operators against brute force, round trips and held-out accuracy, and on awkward rows: nulls, empty, long and repeated texts, ties, clashing columns."""
 
+import inspect
 import random
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,6 +154,19 @@ def test_quality(spark):
     assert quality_ordinal.rate(table, free).filter("accepted").count() == 500
 
 
+def test_quality_of_toxic_rows():
+    """Held-out toxic rows of good quality, few words of which are toxic, are rejected by default, and good and clean ones aren't."""
+    table = lambda name, *columns: ds.dataset(f"/root/testdata/sf0.1/{name}.parquet").to_table(columns=list(columns))
+    rows = table("labels", "doc_id", "quality", "toxic").join(table("documents", "doc_id", "text"), "doc_id", join_type="inner").sort_by("doc_id")
+    rows = rows.take(np.random.default_rng(0).permutation(len(rows))).combine_chunks()
+    grade = np.where(rows["quality"].to_numpy() < 1, 0, np.where(rows["toxic"].to_numpy() > 0, 1, 2))
+    model = quality_ordinal.fit_arrays(*quality_ordinal.features(*utf8(rows["text"].chunk(0)[:2000])), grade[:2000], 3)
+    least = inspect.signature(quality_ordinal.rate).parameters["least_tail"].default
+    tail = model.tails(model.score(*quality_ordinal.features(*utf8(rows["text"].chunk(0)[2000:]))))[:, -1]
+    rejected = [(tail[grade[2000:] == g] < least).mean() for g in range(3)]
+    assert rejected[0] > 0.98 and rejected[1] > 0.7 and rejected[2] < 0.02
+
+
 def test_ordinal_gradient():
     rng = np.random.default_rng(0)
     idx, bounds = np.arange(40) % 7, np.arange(0, 41, 4)
