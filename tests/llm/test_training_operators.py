@@ -383,12 +383,16 @@ def test_linked_is_exact():
 
 def test_packing(spark):
     rng = random.Random(6)
-    for n, cap, low in ((9, 20, 3), (11, 30, 8), (10, 50, 5)):
-        for _ in range(15):
-            sizes = [rng.randint(low, cap) for _ in range(n)]
-            bins = bin_completion.pack(sizes, cap)
-            assert sorted(i for b in bins for i in b) == list(range(n)) and all(sum(sizes[i] for i in b) <= cap for b in bins)
-            assert len(bins) == least_bins(sizes, cap)
+    for sizes, cap in [([25, 43, 56, 44, 17, 56, 16, 25, 30, 60, 15, 60], 150), *((([rng.randint(low, high) for _ in range(rng.randint(10, 14))]), cap) for cap, low, high in 5 * ((20, 3, 20), (150, 15, 60), (150, 8, 105), (1000, 50, 400), (50, 5, 35)) for _ in range(40))]:
+        bins, proved = bin_completion.searched(sizes, cap)
+        assert sorted(i for b in bins for i in b) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= cap for b in bins)
+        assert proved and len(bins) == least_bins(sizes, cap) >= bin_completion.least_bins(sizes, cap)
+    many = bin_completion.pack([5000] * 3 + [1] * 1384, 8192)
+    assert len(many) == 3 and sorted(i for b in many for i in b) == list(range(1387))
+    assert max(len(b) for b in bin_completion.pack([8191, 8191, 8190, *[1] * 5000], 8192)) > 4000
+    sizes = [rng.randint(1, 8192) for _ in range(3000)]
+    bins, _ = bin_completion.searched(sizes, 8192, 300)
+    assert len(bins) <= len(bin_completion.best_fit(sizes, 8192)) and sorted(i for b in bins for i in b) == list(range(3000))
     odd = docs(spark, AWKWARD)
     rows = bin_completion.packed(odd, capacity=1000, shard=4).collect()
     fill, spans = Counter(), defaultdict(list)
@@ -398,6 +402,27 @@ def test_packing(spark):
     assert all(v <= 1000 for k, v in fill.items() if k is not None) and spans[2] == [(0, 0)] and spans[3] == [(0, 0)]
     assert sorted(spans[6]) == [(k, 1000) for k in range(0, 200_000, 1000)] and len(spans[5]) == 2
     assert bin_completion.packed(odd.limit(0)).count() == 0
+    short = spark.range(1400).select(F.col("id").cast("string").alias("doc_id"), F.expr("repeat('x', CASE WHEN id < 3 THEN 5000 ELSE 1 END)").alias("text"), F.lit(1).alias("shard"), F.lit(1).alias("bin"))
+    rows = bin_completion.packed(short).collect()
+    assert len(rows) == 1400 and {r["doc_id"] for r in rows} == {str(i) for i in range(1400)} and len({r["bin"] for r in rows}) == 3
+
+
+def test_fillings():
+    """All undominated fillings and no others, against every multiset."""
+    rng = random.Random(11)
+    for _ in range(200):
+        rest, room = sorted(rng.randint(1, 12) for _ in range(rng.randint(0, 8))), rng.randint(0, 25)
+        sets = {tuple(sorted((rest[i] for i in range(len(rest)) if k >> i & 1), reverse=True)) for k in range(1 << len(rest))}
+        sets = {s for s in sets if sum(s) <= room}
+
+        def worse(s):
+            left = Counter(rest)
+            left.subtract(s)
+            parts = [p for k in range(1 << len(s)) if (p := [s[i] for i in range(len(s)) if k >> i & 1]) or k == 0]
+            return any(n > 0 and any(sum(p) <= x <= sum(p) + room - sum(s) and p != [x] for p in parts) for x, n in left.items())
+
+        got = list(bin_completion.fillings(room, rest, room, [10**6]))
+        assert len(got) == len(set(got)) and set(got) == {s for s in sets if not worse(s)}
 
 
 def least_bins(sizes, cap):
@@ -405,7 +430,7 @@ def least_bins(sizes, cap):
     sizes = sorted(sizes, reverse=True)
 
     def put(i, bins):
-        if len(bins) >= best[0]:
+        if len(bins) + max(0, -(-(sum(sizes[i:]) - sum(bins)) // cap)) >= best[0]:
             return
         if i == len(sizes):
             best[0] = len(bins)
