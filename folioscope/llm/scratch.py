@@ -39,6 +39,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it where ``df`` has a column of that name or one that continues it."""
+    while any(c.lower().startswith(name) for c in df.columns):
+        name += "_"
+    return name
+
+
 def clear_scratch() -> None:
     """Delete every table ``written`` made. Only for when no result that reads one is still to be computed."""
     while _WRITTEN:

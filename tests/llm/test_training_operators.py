@@ -485,3 +485,22 @@ def test_exact_duplicates(spark):
     odd = docs(spark, AWKWARD)
     assert sorted(r["doc_id"] or 0 for r in block_naming.without_copies(odd).collect()) == [1, 2, 3, 4, 6, 7, 8]
     assert block_naming.duplicates(odd.limit(0)).count() == 0 and block_naming.without_copies(odd.limit(0)).count() == 0
+    named = block_naming.identities(table, block=2).collect()
+    assert len(named) == sum(t is not None for t in texts) and len({(r["level"], r["name"]) for r in named}) == len(n) - 1
+
+
+def test_exact_duplicates_of_long_texts_and_clashing_columns(spark):
+    rng = random.Random(12)
+    head = "".join(rng.choice("abcdefgh ") for _ in range(9000))
+    long = [head + str(i % 7) + "z" * (5000 * (i % 3)) for i in range(60)]  # 21 texts that share more than two whole blocks
+    names = "_hash _size _i _s _h _place block_prints block_prints_ row key level name n a b p part".split()
+    rows = [(f"d{i % 50:02d}", t, *[f"{c}{i % 50}" for c in names], {"k": i}) for i, t in enumerate(long + long[:20])]
+    table = spark.createDataFrame(rows, "doc_id string, text string, " + ", ".join(f"`{c}` string" for c in names) + ", extra map<string,int>")
+    least, n = {}, Counter(r[1] for r in rows)
+    for r in rows:
+        least[r[1]] = min(least.get(r[1], r[0]), r[0])
+    assert Counter(map(tuple, block_naming.duplicates(table).collect())) == Counter((r[0], least[r[1]], n[r[1]]) for r in rows)
+    kept = block_naming.without_copies(table)
+    got = kept.collect()
+    assert kept.schema == table.schema and sorted((r["doc_id"], r["text"]) for r in got) == sorted((v, k) for k, v in least.items())
+    assert all(r["_hash"] == f"_hash{int(r['doc_id'][1:])}" and r["extra"] for r in got)
