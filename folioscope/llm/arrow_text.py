@@ -69,8 +69,11 @@ def slices(batch: pa.RecordBatch, text: str = "text", most: int = SLICE_BYTES) -
             yield batch.slice(a, b - a)
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
-    """Words between ASCII white space: the distinct words, each occurrence's place among them, and each text's first occurrence."""
+def words(data: np.ndarray, offsets: np.ndarray, *, unspaced: bool = False) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
+    """Words between ASCII white space: the distinct words, each occurrence's place among them, and each text's first occurrence.
+
+    With ``unspaced`` a character of a script that puts no spaces between words (Han, kana, Thai, Lao) is a word by itself.
+    """
     letter = ~_SPACE[data]
     first, last = letter.copy(), letter.copy()
     first[1:] &= ~letter[:-1]
@@ -79,6 +82,14 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.BinaryArray, np.nda
     cut = cut[(cut > 0) & (cut < len(data))]
     first[cut] = letter[cut]
     last[cut - 1] = letter[cut - 1]
+    if unspaced and len(data) and data.max() >= 0xE0:
+        after = np.append(data[1:], np.uint8(0))
+        three = ((data >= 0xE3) & (data <= 0xE9)) | ((data == 0xE0) & (after >= 0xB8) & (after <= 0xBB))
+        for at, size in ((np.flatnonzero(three), 3), (np.flatnonzero((data == 0xF0) & (after >= 0xA0) & (after <= 0xB3)), 4)):
+            first[at] = last[at + size - 1] = True
+            last[(at - 1)[at > 0]] = letter[(at - 1)[at > 0]]
+            at = at[at + size < len(data)] + size
+            first[at] = letter[at]
     starts = np.flatnonzero(first)
     places = np.zeros(len(starts) + 1, np.int32)
     np.cumsum(np.flatnonzero(last) + 1 - starts, out=places[1:])

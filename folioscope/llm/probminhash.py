@@ -1,6 +1,6 @@
 """Near duplicates by ProbMinHash.
 
-A text is the multiset of its runs of three words. Each distinct run is a Poisson process whose rate is the run's count; its arrivals fall
+A text is the multiset of its runs of three words, of characters where a script has no spaces. Each distinct run is a Poisson process whose rate is the run's count; its arrivals fall
 on random components of the signature, and a component keeps the run that arrives first. A run is dropped as soon as its next arrival
 is later than every component's first, so a text costs about as many arrivals as it has runs. Two signatures agree in a
 component with the probability Jaccard similarity of the texts. Equal signatures make one node; nodes that agree in a whole band are candidates;
@@ -17,17 +17,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.arrow_text import hashes, map_batches, mix, slices, utf8, words
-from folioscope.llm.scratch import among, components, written
+from folioscope.llm.scratch import among, components, fresh, least_ids, numbering, written
 
 COMPONENTS, ROWS, RUN = 128, 4, 3
 THRESHOLD = 0.5
 DOUBT = 0.13  # three standard errors of an estimate from 128 components
-PAIRWISE = 64
+PAIRWISE, BLOCK = 64, 2048
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, 48-bit hash, count) of each text's distinct runs of words; a text of fewer words has one run, an empty one none."""
-    distinct, at, bounds = words(data, offsets)
+    distinct, at, bounds = words(data, offsets, unspaced=True)
     n = len(bounds) - 1
     value = hashes(distinct)[at]
     count = np.diff(bounds)
@@ -86,7 +86,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def signed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m: int = COMPONENTS, rows: int = ROWS) -> DataFrame:
-    """(id, whole, bands, sig) of each row with an id and at least one word; ``whole`` and ``bands`` are hashes of the signature."""
+    """(key, whole, bands, sig) of each row with an id, ``key``, and at least one word; ``whole`` and ``bands`` are hashes of the signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,10 +109,10 @@ def signed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
                 flat = pa.array(keys.view(np.int64).ravel())
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * keys.shape[1], pa.int32()), flat)
                 blob = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * 4 * m), pa.py_buffer(np.ascontiguousarray(sig))])
-                yield pa.RecordBatch.from_arrays([part.column("id").filter(pa.array(some)), pa.array(whole.view(np.int64)), lists, blob], names=["id", "whole", "bands", "sig"])
+                yield pa.RecordBatch.from_arrays([part.column("key").filter(pa.array(some)), pa.array(whole.view(np.int64)), lists, blob], names=["key", "whole", "bands", "sig"])
 
-    one = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null and text is not null")
-    return map_batches(one, run, "id long, whole long, bands array<long>, sig binary")
+    one = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).filter("key is not null and text is not null")
+    return map_batches(one, run, f"key {one.schema['key'].dataType.simpleString()}, whole long, bands array<long>, sig binary")
 
 
 def _spanned(m: int, low: float, high: float):
@@ -153,21 +153,27 @@ def _edges(found: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def candidates(heads: DataFrame, table: DataFrame, *, m: int = COMPONENTS, threshold: float = THRESHOLD) -> DataFrame:
+def candidates(heads: DataFrame, table: DataFrame, *, m: int = COMPONENTS, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """Distinct pairs (a < b) of the nodes ``heads`` that agree in a band; ``table`` has the signatures.
 
     Equal buckets count once. A bucket of up to 64 nodes gives all its pairs. A larger one gives the pairs by which breadth-first searches
     over its signatures, by estimates that leave no doubt, reach every node, and all pairs in doubt between what two searches reached. So
-    its groups are whole, and copies without doubt aren't squared.
+    its groups are the same, and copies without doubt aren't squared. A bucket of more than about ``block`` nodes is cut into blocks of about so many, and
+    every two blocks are searched together in a task of their own, so no task holds more than two of them.
     """
     rows = heads.select("id", F.explode("bands").alias("key"))
-    buckets = rows.groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("ids")).filter(F.size("ids") > 1).select("ids").distinct()
-    buckets = written(buckets, "buckets")
-    few = buckets.filter(F.size("ids") <= PAIRWISE).select(F.posexplode("ids").alias("p", "a"), "ids")
-    few = few.select("a", F.explode(F.expr("slice(ids, p + 2, size(ids))")).alias("b"))
-    many = buckets.filter(F.size("ids") > PAIRWISE).select(F.xxhash64("ids").alias("bucket"), F.explode("ids").alias("id"))
+    hashed = [F.bit_xor(F.xxhash64(F.lit(k), "id")).alias(f"h{k}") for k in (0, 1)]
+    kinds = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *hashed).filter("n > 1").groupBy("n", "h0", "h1").agg(F.min("key").alias("key"))
+    kinds = written(kinds.select("key", "n"), "buckets")
+    rows = written(rows.filter(among(F.col("key"), kinds)).join(kinds, "key"), "members")
+    few = rows.filter(F.col("n") <= PAIRWISE).groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    few = few.select("ids").distinct().select(F.posexplode("ids").alias("p", "a"), "ids").select("a", F.explode(F.expr("slice(ids, p + 2, size(ids))")).alias("b"))
+    many = rows.filter(F.col("n") > PAIRWISE).select("id", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     sigs = table.select("id", "sig").filter(among(F.col("id"), many.select("id").distinct()))
-    spanned = many.join(sigs, "id").groupBy("bucket").applyInArrow(_spanned(m, threshold - DOUBT, threshold + DOUBT), "a long, b long")
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    others = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("blocks") - 1), own))
+    many = many.join(sigs, "id").select("key", "id", "sig", own.alias("x"), F.explode(others).alias("y")).select("key", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "id", "sig")
+    spanned = many.groupBy("key", "x", "y").applyInArrow(_spanned(m, threshold - DOUBT, threshold + DOUBT), "a long, b long")
     return few.union(spanned.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
 
 
@@ -195,42 +201,47 @@ def _exact(pairs: DataFrame) -> DataFrame:
     return map_batches(pairs.select("a", "b", "ta", "tb"), run, "a long, b long, similarity double")
 
 
-def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, m: int = COMPONENTS, rows: int = ROWS) -> DataFrame:
+def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, m: int = COMPONENTS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
     """(id, group_id) of each id that is in a group of two or more; ``group_id`` is the group's least id.
 
-    Two ids are in one group if pairs of at least ``threshold`` similarity lead from one to the other. Rows with a null id, and null,
-    empty and blank texts, are in no group. An id whose rows have several texts joins the groups of all of them.
+    Ids may be of any type that has an order; those that aren't integers are numbered, which costs a join. Two ids are in one group if pairs of at least
+    ``threshold`` similarity lead from one to the other. Rows with a null id, and null, empty and blank texts, are in no group. An id whose rows have several
+    texts joins the groups of all of them. A text is signed whole, whatever its length; texts of equal signature are of one group. Other columns are ignored.
     """
-    table = written(signed(docs, id_col=id_col, text_col=text_col, m=m, rows=rows), "signatures")
+    numbers = numbering(docs, id_col)
+    table = signed(docs, id_col=id_col, text_col=text_col, m=m, rows=rows)
+    table = table.withColumnRenamed("key", "id").withColumn("id", F.col("id").cast("long")) if numbers is None else table.join(numbers, "key").drop("key")
+    table = written(table, "signatures")
     heads = written(table.groupBy("whole").agg(F.min("id").alias("id"), F.min_by("bands", "id").alias("bands")), "nodes")
     same = table.select("id", "whole").join(heads.select("whole", F.col("id").alias("rep")), "whole").filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    pairs = written(candidates(heads.select("id", "bands"), table, m=m, threshold=threshold), "candidates")
+    pairs = written(candidates(heads.select("id", "bands"), table, m=m, threshold=threshold, block=block), "candidates")
     sigs = table.select("id", "sig").filter(among(F.col("id"), pairs.select("a").union(pairs.select("b")).distinct()))
     sig_a, sig_b = (sigs.select(F.col("id").alias(k), F.col("sig").alias(f"s{k}")) for k in ("a", "b"))
     rated = written(_agreement(pairs.join(sig_a, "a").join(sig_b, "b"), m).filter(F.col("estimate") >= threshold - DOUBT), "rated")
     sure = rated.filter(F.col("estimate") >= threshold + DOUBT).select("a", "b")
     open_ = rated.filter(F.col("estimate") < threshold + DOUBT).select("a", "b")
-    wanted = written(open_.select(F.col("a").alias("id")).union(open_.select("b")).distinct(), "wanted")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("text is not null")
-    texts = written(texts.filter(among(F.col("id"), wanted)).join(wanted, "id").dropDuplicates(["id", "text"]), "texts")
+    wanted = open_.select(F.col("a").alias("id")).union(open_.select("b")).distinct()
+    wanted = written(wanted.withColumn("key", F.col("id")) if numbers is None else wanted.join(numbers, "id"), "wanted")
+    texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).filter("key is not null and text is not null")
+    texts = texts if numbers is not None else texts.withColumn("key", F.col("key").cast("long"))
+    texts = written(texts.filter(among(F.col("key"), wanted.select("key"))).join(wanted, "key").select("id", "text").dropDuplicates(), "texts")
     ta, tb = (texts.select(F.col("id").alias(k), F.col("text").alias(f"t{k}")) for k in ("a", "b"))
     proved = _exact(open_.join(ta, "a").join(tb, "b")).filter(F.col("similarity") >= threshold).select("a", "b")
-    linked = components(sure.union(proved).union(same), "near")
-    return linked.select("id", F.col("root").alias("group_id"))
+    return least_ids(components(sure.union(proved).union(same), "near"), numbers)
 
 
-def near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """(doc_id, group_id, copies, kept) of each row of ``docs``; a row in no group is its own. ``kept`` is true for one id of each group."""
-    found = written(groups(docs, **options), "groups")
-    found = found.join(found.groupBy("group_id").agg(F.count(F.lit(1)).alias("copies")), "group_id").select(F.col("id"), "group_id", "copies")
-    ids = docs.select("doc_id")
-    return ids.join(found, F.col("doc_id").cast("long") == F.col("id"), "left").select(
-        "doc_id", F.coalesce("group_id", F.col("doc_id").cast("long")).alias("group_id"), F.coalesce("copies", F.lit(1)).alias("copies"), F.coalesce(F.col("id") == F.col("group_id"), F.lit(True)).alias("kept")
-    )
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """(id, group_id, copies, kept) of each row of ``docs``; a row in no group is its own. ``kept`` is true for one id of each group."""
+    found = written(groups(docs, id_col=id_col, **options), "groups")
+    found = found.join(found.groupBy("group_id").agg(F.count(F.lit(1)).alias("copies")), "group_id").select(F.col("id").alias("member"), "group_id", "copies")
+    own = F.col("id")
+    rows = docs.select(F.col(id_col).alias("id")).join(found, F.col("id") == F.col("member"), "left")
+    return rows.select(own.alias(id_col), F.coalesce("group_id", own).alias("group_id"), F.coalesce("copies", F.lit(1)).alias("copies"), F.coalesce(F.col("member") == F.col("group_id"), F.lit(True)).alias("kept"))
 
 
-def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of its group, all columns kept. Rows with a null id stay."""
-    gone = written(groups(docs, **options).filter("id <> group_id").select(F.col("id").alias("_gone")), "gone")
-    maybe = among(F.col("doc_id").cast("long"), gone)
-    return docs.filter(~maybe).union(docs.filter(maybe).join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti"))
+def without_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` whose id is the least of its group, all columns kept, whatever their names. Rows with a null id stay."""
+    gone = fresh(docs, "near_copy")
+    ids = written(groups(docs, id_col=id_col, **options).filter("id <> group_id").select(F.col("id").alias(gone)), "gone")
+    maybe = among(F.col(id_col).cast(ids.schema[0].dataType), ids)
+    return docs.filter(~maybe).union(docs.filter(maybe).join(ids, F.col(id_col) == F.col(gone), "left_anti"))

@@ -46,6 +46,22 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def numbering(df: DataFrame, id_col: str) -> DataFrame | None:
+    """(key, id): a number for each id of ``df`` that isn't null, written; None where ids are integers and so numbers already."""
+    if df.schema[id_col].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint"):
+        return None
+    keys = df.select(F.col(id_col).alias("key")).filter("key is not null").distinct()
+    return written(keys.withColumn("id", F.monotonically_increasing_id()), "numbers")
+
+
+def least_ids(found: DataFrame, numbers: DataFrame | None) -> DataFrame:
+    """(id, group_id) of ``found(id, root)`` with the ids that ``numbers`` stand for; ``group_id`` is the least id of a root's."""
+    if numbers is None:
+        return found.select("id", F.col("root").alias("group_id"))
+    named = written(found.join(numbers, "id").select("root", "key"), "named")
+    return named.join(named.groupBy("root").agg(F.min("key").alias("group_id")), "root").select(F.col("key").alias("id"), "group_id")
+
+
 def clear_scratch() -> None:
     """Delete every table ``written`` made. Only for when no result that reads one is still to be computed."""
     while _WRITTEN:

@@ -259,11 +259,27 @@ def test_near_duplicates_in_large_buckets(spark):
         if estimate >= high or estimate >= low and probminhash.similarity(sets[a], sets[b]) >= probminhash.THRESHOLD:
             x, y = sorted((find(a), find(b)))
             parent[y] = x
-    got = {r["doc_id"]: r["group_id"] for r in probminhash.near_duplicates(docs(spark, [(i, t, "en") for i, t in enumerate(rows)])).collect()}
-    assert got == {i: find(i) for i in range(len(rows))}
+    for block in (probminhash.BLOCK, 50):
+        got = {r["doc_id"]: r["group_id"] for r in probminhash.near_duplicates(docs(spark, [(i, t, "en") for i, t in enumerate(rows)]), block=block).collect()}
+        assert got == {i: find(i) for i in range(len(rows))}
     assert 200 < len(set(got.values())) < 500
 
 
+def test_near_duplicates_of_other_ids_and_scripts(spark):
+    """Ids that are strings, columns of names that the operator uses, texts without spaces, and a long one."""
+    rng = random.Random(8)
+    han = lambda: [chr(rng.randrange(0x4E00, 0x9000)) for _ in range(200)]
+    base = [han(), han(), [f"w{rng.randrange(9**9)} " for _ in range(60_000)]]
+    rows = [(f"x{k}{j}", "".join([*b[: len(b) // 2], str(j), *b[len(b) // 2 :]])) for k, b in enumerate(base) for j in range(3)] + [("y", "".join(han())), (None, rows_text := "".join(base[0])), ("z", ""), ("y", rows_text)]
+    names = "_gone near_copy near_copy_ id key whole bands sig group_id copies kept member".split()
+    table = spark.createDataFrame([(i, t, *names) for i, t in rows], "doc_id string, text string, " + ", ".join(f"`{c}` string" for c in names))
+    got = {r["doc_id"]: r["group_id"] for r in probminhash.near_duplicates(table).collect()}
+    # the second text of y is a copy of the first group's
+    assert got == {f"x{k}{j}": f"x{k}0" for k in range(3) for j in range(3)} | {"y": "x00", "z": "z", None: None}
+    kept = probminhash.without_near_duplicates(table)
+    assert kept.schema == table.schema and sorted(r["doc_id"] or "" for r in kept.collect()) == ["", "x00", "x10", "x20", "z"]
+
+
 def test_similarity_and_signatures():
     rng = np.random.default_rng(1)
     items = np.arange(500, dtype=np.uint64)
