@@ -49,7 +49,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts on end and where each begins, the end last. A null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "").cast(pa.large_binary())
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
     n = len(column)
     if not n:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)

@@ -17,11 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioscope.llm.arrow_text import map_batches, mix, slices, utf8
+from folioscope.llm.arrow_text import map_batches, mix, per_text, slices, utf8
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES, TEMPERATURE = 2, 1.0
@@ -43,18 +44,23 @@ class Pieces:
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model)
         texts, ids, ranks = [], [], []
+        whole = [b""] * sp.get_piece_size()  # what each id stands for; nothing for a control
+        whole[sp.unk_id()] = " \u2047 ".encode()
         self.bytes = np.zeros(256, np.int64)
         for i in range(sp.get_piece_size()):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
                 self.bytes[int(piece[3:5], 16)] = i
+                whole[i] = bytes([int(piece[3:5], 16)])
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 raw = piece.replace("▁", " ")
                 if " " in raw.lstrip(" "):
                     raise ValueError(f"piece {i} has a space behind another character")
                 texts.append(raw.encode())
+                whole[i] = texts[-1]
                 ids.append(i)
                 ranks.append(-sp.get_score(i))
+        self.whole = pa.array(whole, pa.large_binary())
         ranks = np.array(ranks)
         weight = -np.log(ranks - ranks.min() + 10.0) / temperature
         self.byte_weight = float(weight.min())
@@ -68,8 +74,23 @@ class Pieces:
         self.hash, self.id, self.weight = hashed[order], np.array(ids)[order], weight[order]
         if (np.diff(self.hash) == 0).any():
             raise ValueError("two pieces have one hash")
-        self.maybe = np.zeros(1 << 22, bool)
-        self.maybe[(self.hash >> np.uint64(42)).astype(np.int64)] = True
+        self.place = np.zeros(1 << 22, np.int32)  # of a piece whose hash has these upper bits
+        self.place[(self.hash >> np.uint64(42)).view(np.int64)] = np.arange(len(self.hash))
+        # by the upper bits of a hash: 1 where a piece has it, 2 where the beginning of a longer one has
+        self.maybe = np.zeros(1 << 22, np.uint8)
+        self.maybe[(self.hash >> np.uint64(42)).view(np.int64)] = 1
+        for length in range(1, self.longest):
+            longer = starts[ends - starts > length]
+            self.maybe[(_between(prefix, back, longer, longer + length) >> np.uint64(42)).view(np.int64)] |= 2
+
+
+    def restored(self, ids: pa.Array, bounds: np.ndarray) -> Iterator[bytes]:
+        """The text of the ids between each two successive bounds, without the space that was put before it."""
+        taken = self.whole.take(ids)
+        data, offsets = utf8(taken)
+        data, ends = data.tobytes(), offsets[bounds].tolist()
+        for a, b in zip(ends, ends[1:]):
+            yield data[a + (data[a : a + 1] == b" " and a < b) : b]
 
 
 def _prefixes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,28 +127,35 @@ class Lattice:
             if not len(at):
                 break
             h = (prefix[at + length] - origin) * scale
-            maybe = np.flatnonzero(pieces.maybe[(h >> np.uint64(42)).view(np.int64)])
-            place = np.minimum(np.searchsorted(pieces.hash, h[maybe]), len(pieces.hash) - 1)
-            hit = pieces.hash[place] == h[maybe]
+            known = pieces.maybe[(h >> np.uint64(42)).view(np.int64)]
+            maybe = np.flatnonzero(known & 1)
+            h = h[maybe]
+            place = pieces.place[(h >> np.uint64(42)).view(np.int64)]
+            hit = pieces.hash[place] == h
+            others = np.flatnonzero(~hit)
+            place[others] = np.minimum(np.searchsorted(pieces.hash, h[others]), len(pieces.hash) - 1)
+            hit[others] = pieces.hash[place[others]] == h[others]
             own = maybe[hit]
             begin = at[own]
             found.append((begin, begin + length, place[hit]))
             many[begin] += 1
             if length <= 4:  # which characters have a piece of their own
                 alone[begin[width[own] == length]] = True
+            on = known > 1  # elsewhere no longer piece begins
+            at, room, origin, scale, width = at[on], room[on], origin[on], scale[on], width[on]
         bare = chars[~alone[chars]]
         found.append((bare, np.append(chars[1:], n)[~alone[chars]], np.full(len(bare), -1)))
         many[bare] += 1
         self.first = np.concatenate([[0], np.cumsum(many, dtype=np.int64)])
         cursor, total = self.first[:-1].copy(), int(self.first[-1])
-        self.stop, piece = np.zeros(total, np.int64), np.zeros(total, np.int64)
+        self.stop, piece = np.zeros(total, np.int32), np.zeros(total, np.int32)
         for begin, stop, which in found:
             to = cursor[begin]
             self.stop[to], piece[to] = stop, which
             cursor[begin] += 1
         del found, cursor
-        self.start = np.repeat(np.arange(n), many)
-        self.id = np.where(piece >= 0, pieces.id[piece], -1)
+        self.start = np.repeat(np.arange(n, dtype=np.int32), many)
+        self.id = np.where(piece >= 0, pieces.id[piece], -1).astype(np.int32)
         weight = np.where(piece >= 0, pieces.weight[piece], pieces.byte_weight * (self.stop - self.start))
         beta = np.zeros(n + 1)  # a part's end is the next one's beginning, so ends are read as 0
         left = end[self.start] - self.start
@@ -145,14 +173,17 @@ class Lattice:
         self.beta = beta
         self.log = weight + np.where(part_end, 0.0, beta[self.stop]) - beta[self.start]  # of the choice, given its beginning
         self.last = part_end
-        with np.errstate(divide="ignore"):
-            self.other = np.log(-np.expm1(np.minimum(self.log, 0.0)))  # of any other choice there
-        self.other[self.first[self.start + 1] - self.first[self.start] < 2] = -np.inf
         total = np.cumsum(np.exp(self.log))
         before = np.concatenate([[0.0], total])[self.first[:-1]]
         self.upto = total - before[self.start]
         self.upto[self.first[1:][self.first[1:] > self.first[:-1]] - 1] = 2.0  # rounding leaves no gap at the last
 
+    def other(self, edges: np.ndarray) -> np.ndarray:
+        """The log-probability of any other choice than each edge at its beginning."""
+        begin = self.start[edges]
+        with np.errstate(divide="ignore"):
+            return np.where(self.first[begin + 1] - self.first[begin] < 2, -np.inf, np.log(-np.expm1(np.minimum(self.log[edges], 0.0))))
+
     def draw(self, begin: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A path from each ``begin`` to its part's end: edges on end and where each path's begin. ``key`` seeds each path's choices."""
         lane, pos, turn = np.arange(len(begin)), begin, 0
@@ -269,7 +300,7 @@ def sample_batch(pieces: Pieces, data: np.ndarray, offsets: np.ndarray, keys: np
             if hi - lo > len(gone):
                 others = [o for o in range(lo, hi) if o not in gone]
                 mass = base + np.logaddexp.reduce(lattice.log[others])
-                g = float(_gumbel(_uniform(keys[i : i + 1], 40 + turn, np.array([j])))[0])
+                g = float(_gumbel(_uniform(~keys[i : i + 1], turn, np.array([j])))[0])
                 heapq.heappush(heaps[i], (float(np.logaddexp(-keyed[i][-1], -(mass + g))), j, len(paths[i]) - 1, gone, base))
             ways.append(found[a:b])
             tops.append(keyed[i][-1])
@@ -278,16 +309,21 @@ def sample_batch(pieces: Pieces, data: np.ndarray, offsets: np.ndarray, keys: np
             numbers.append(len(paths[i]) - 1)
         bound = np.concatenate([[0], np.cumsum([len(w) for w in ways])])
         _beside(lattice, heaps, texts, np.concatenate(ways), bound, keys, np.array(tops), np.array(bases), np.array(froms), np.array(numbers), k)
-    out = []
+    ways = [way for x in paths for way, _ in x]
+    size = np.array([len(w) for w in ways], np.int64)
+    flat = np.concatenate(ways) if ways else np.zeros(0, np.int64)
+    logs = per_text(lattice.log[flat], np.concatenate([[0], np.cumsum(size)])).tolist()
+    ids, cuts = _ids(pieces, lattice, distinct, flat, size)
+    out, at = [], 0
     for i in range(n):
         limit = -heaps[i][0][0] if heaps[i] else -np.inf
         rows = []
-        for (way, _), value in zip(paths[i], keyed[i]):
-            log = float(lattice.log[way].sum())
-            over = log - limit
+        for value in keyed[i]:
+            over = logs[at] - limit
             chance = 0.0 if limit == -np.inf else over if over < -30 else float(np.log(-np.expm1(-np.exp(min(50.0, over)))))
-            rows.append((way, log, float(value), chance))
-        out.append([(_ids(pieces, lattice, distinct, way), *x) for way, *x in rows])
+            rows.append((ids[cuts[at] : cuts[at + 1]], logs[at], float(value), chance))
+            at += 1
+        out.append(rows)
     return out
 
 
@@ -303,7 +339,7 @@ def _beside(lattice: Lattice, heaps: list[list[tuple]], texts: np.ndarray, ways:
     place = np.arange(len(ways)) - bounds[:-1][of]
     before = base[of] + logs[:-1] - logs[bounds[:-1]][of]
     turn = mix(keys[texts] + sample.astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
-    mass = before + lattice.other[ways]
+    mass = before + lattice.other(ways)
     value = np.logaddexp(-top[of], -(mass + _gumbel(_uniform(turn[of], 7, place + begin[of]))))  # negated, least first
     for x, i in enumerate(texts.tolist()):
         a, b = bounds[x], bounds[x + 1]
@@ -314,26 +350,26 @@ def _beside(lattice: Lattice, heaps: list[list[tuple]], texts: np.ndarray, ways:
                 heapq.heappush(heaps[i], (float(v[j]), int(j + begin[x]), int(sample[x]), (int(ways[a + j]),), float(before[a + j])))
 
 
-def _ids(pieces: Pieces, lattice: Lattice, data: np.ndarray, way: np.ndarray) -> np.ndarray:
-    ids = lattice.id[way]
-    bare = ids < 0
-    if not bare.any():
-        return ids
-    size = np.where(bare, lattice.stop[way] - lattice.start[way], 1)
+def _ids(pieces: Pieces, lattice: Lattice, data: np.ndarray, ways: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The ids of paths that lie on end, a character without a piece as its bytes, and where each path's begin."""
+    ids = lattice.id[ways]
+    size = np.where(ids < 0, lattice.stop[ways] - lattice.start[ways], 1)
+    ends = np.concatenate([[0], np.cumsum(size)])
     out = np.repeat(ids, size)
-    ends = np.cumsum(size)
-    for x in np.flatnonzero(bare):
-        out[ends[x] - size[x] : ends[x]] = pieces.bytes[data[lattice.start[way[x]] : lattice.stop[way[x]]]]
-    return out
+    bare = np.flatnonzero(out < 0)
+    if len(bare):
+        edge = np.searchsorted(ends, bare, "right") - 1
+        out[bare] = pieces.bytes[data[lattice.start[ways[edge]] + bare - ends[edge]]]
+    return out, ends[np.concatenate([[0], np.cumsum(sizes)])].tolist()
 
 
 def sampled(table: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = SAMPLES, model: str = MODEL, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
-    """(id, sample, ids, log_prob, key, log_inclusion): up to ``k`` distinct segmentations of each row, fewer where there are fewer.
+    """(id, sample, ids, log_prob, key, log_inclusion, restored): up to ``k`` distinct segmentations of each row, fewer where there are fewer.
 
     ``log_inclusion`` is the log of the chance that a segmentation is among the k, given the key of the next one, and weighs estimates from the
     sample; a long text's chances are too small for anything but their logs.
-    What is drawn depends on the row's id, its text's length, and ``seed`` alone. An empty text has one segmentation, without pieces; a null text has one row
-    with null ``ids`` and scores. Repeated rows give repeated results; other columns are ignored.
+    ``restored`` tells whether the ids, decoded, give the text back. What is drawn depends on the row's id, its text's length, and ``seed`` alone. An empty text has one segmentation, without pieces; a null text has one row
+    with null ``ids``, scores and ``restored``. A text of any length is one lattice. Repeated rows give repeated results; other columns are ignored, whatever their names.
     """
     one = table.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col).cast("string"), F.length(text_col), F.lit(seed)).alias("seed"), F.col(text_col).alias("text"))
     kind = one.schema["id"].dataType.simpleString()
@@ -353,23 +389,30 @@ def sampled(table: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 values = pa.array(np.concatenate([s[0] for s in flat] or [np.zeros(0)]).astype(np.int32))
                 ends = pa.array(np.concatenate([[0], np.cumsum([len(s[0]) for s in flat])]).astype(np.int32))
                 lists = pa.ListArray.from_arrays(ends, values, mask=pa.array(empty))
+                text, bounds = data.tobytes(), offsets.tolist()
+                same = [x == text[bounds[r] : bounds[r + 1]] for x, r in zip(pieces.restored(values, ends.to_numpy()), row.tolist())]
                 number = np.concatenate([np.arange(1, len(x) + 1) for x in got] or [np.zeros(0)])
                 score = [pa.array(np.array([s[j] for s in flat], float), mask=empty) for j in (1, 2, 3)]
-                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(row)), pa.array(number.astype(np.int32)), lists, *score], names=["id", "sample", "ids", "log_prob", "key", "log_inclusion"])
+                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(row)), pa.array(number.astype(np.int32)), lists, *score, pa.array(np.array(same, bool), mask=empty)], names=["id", "sample", "ids", "log_prob", "key", "log_inclusion", "restored"])
 
-    return map_batches(one, run, f"id {kind}, sample int, ids array<int>, log_prob double, key double, log_inclusion double").withColumnRenamed("id", id_col)
+    return map_batches(one, run, f"id {kind}, sample int, ids array<int>, log_prob double, key double, log_inclusion double, restored boolean").withColumnRenamed("id", id_col)
 
 
 def decoded(rows: DataFrame, *, ids_col: str = "ids", model: str = MODEL) -> DataFrame:
-    """``rows`` with a column ``decoded``, the text of the ids; null where they are."""
+    """``rows`` with a column ``decoded``, the text of the ids; null where they are. Bytes that aren't text become replacement characters.
+
+    Of a column ``decoded`` that is there already the new one takes the place.
+    """
+    rows = rows.drop("decoded")
     schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import sentencepiece
-
-        sp = sentencepiece.SentencePieceProcessor(model_file=model)
+        pieces = None
         for batch in batches:
-            texts = [None if x is None else sp.decode(x) for x in batch.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
+            pieces = pieces or Pieces(model)
+            ids = batch.column(ids_col)
+            size = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+            texts = [x.decode("utf-8", "replace") for x in pieces.restored(ids.flatten(), np.concatenate([[0], np.cumsum(size)]))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string(), mask=ids.is_null().to_numpy(zero_copy_only=False))], names=[*batch.schema.names, "decoded"])
 
     return map_batches(rows, run, schema)

@@ -77,7 +77,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct sampled segmentations of every document."""
+    """Distinct sampled segmentations of every document, and whether each is decoded to its text."""
     return gumbel_pieces.sampled(_table(spark, sf_dir, "documents"))
 
 

@@ -2,12 +2,14 @@
 
 import inspect
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.dataset as ds
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 from folioscope.llm import bin_completion, block_naming, gumbel_pieces, html_crf, langid_ppm, probminhash, quality_ordinal, rpforest, token_rans, url_rules
@@ -82,6 +84,11 @@ def test_language_codes_equal_brute_force():
     got = model.bits(*utf8(pa.array(tried)))
     want = [[ppm(texts[k], t.encode()) for k in ("x", "y")] for t in tried]
     assert np.allclose(got, want, atol=1e-3)
+    rng = random.Random(4)
+    texts = {k: ["".join(rng.choice(s) for _ in range(rng.randint(0, 400))).encode() for _ in range(20)] for k, s in (("p", "abcdé "), ("q", "cdefg 日"), ("r", "ab"))}
+    tried = ["".join(rng.choice("abcdefgé日 z") for _ in range(60)) for _ in range(20)]
+    got = langid_ppm.PpmModel(texts).bits(*utf8(pa.array(tried)))
+    assert np.allclose(got, [[ppm(texts[k], t.encode()) for k in "pqr"] for t in tried], atol=1e-2)
 
 
 def test_language_held_out_and_awkward(spark):
@@ -96,6 +103,11 @@ def test_language_held_out_and_awkward(spark):
     assert all((r["language"], r["bits_per_byte"], r["accepted"]) == ("und", None, False) for r in rows if r["doc_id"] in (2, 3))
     kept = langid_ppm.accepted_documents(odd, model)
     assert kept.columns == odd.columns and {r["doc_id"] for r in kept.collect()} >= {1, 5, None} and kept.filter("doc_id IN (2, 3)").count() == 0
+    told = table.filter(held).filter("n_chars > 1500").limit(40)
+    wrong = told.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, F.when(F.col("lang") == "en", "de").otherwise("en")).otherwise(F.when(F.col("doc_id") % 5 == 0, F.lit(None)).otherwise(F.col("lang"))))
+    both = lambda df: {r["doc_id"] for r in langid_ppm.accepted_documents(df, model).collect()}
+    right = both(told)
+    assert both(wrong) == {i for i in right if i % 2} and len(right) > 30 and both(wrong.drop("lang")) == right and both(wrong.withColumn("lang", F.lit("xx"))) == right
     none = langid_ppm.fit(odd.limit(0))
     assert {r["language"] for r in langid_ppm.identify(odd, none).collect()} == {"und"} and langid_ppm.identify(odd.limit(0), model).count() == 0
 
@@ -317,8 +329,10 @@ HTML = "<html><head><title>T</title><script>var a='<p>no</p>'</script></head><bo
 
 
 def test_html(spark):
-    texts, feats = html_crf.blocks(HTML)
-    assert texts == ["Home", "More", "One & two words.", "Then bold text here.", "c"] and len(feats) == 5
+    page = html_crf.blocks(HTML)
+    feats = page.features()
+    assert page.texts == ["Home", "More", "One & two words.", "Then bold text here.", "c"] and len(feats) == 5
+    assert page.size() == sum(map(len, feats)) and len(set(feats[2]) & {html_crf._code(f"in {x}") for x in ("div", "div.main", "div.art", "body", "p")}) == 5
     for odd in ("", "plain", "<", "<p", "</p></div>", "<p>" * 3000 + "x", "<!-- open", "<script>x", "a<b>c"):
         html_crf.blocks(odd)
     pages, table = spark.read.parquet(f"{SF}/../sf0.01/pages.parquet"), spark.read.parquet(f"{SF}/../sf0.01/documents.parquet")
@@ -326,10 +340,11 @@ def test_html(spark):
     model = html_crf.fit(html_crf.labelled_pages(pages.filter(~held), table))
     right = total = 0
     for r in html_crf.labelled_pages(pages.filter(held), table).collect():
-        texts, feats = html_crf.blocks(r["html"])
-        want = html_crf.label(texts, r["document"])
+        page = html_crf.blocks(r["html"])
+        want = html_crf.label(page.texts, r["document"])
+        assert model.labels(page) == model.decode(page.features())
         if sum(want):
-            right += sum(a == b for a, b in zip(want, model.decode(feats)))
+            right += sum(a == b for a, b in zip(want, model.labels(page)))
             total += len(want)
     assert total > 200 and right / total > 0.97
     odd = spark.createDataFrame([(1, None, "t"), (2, "", "t"), (3, HTML, "t"), (3, HTML, "t"), (None, "<p>a b c", "t")], "page_id long, html string, text string")
@@ -338,6 +353,35 @@ def test_html(spark):
     assert html_crf.extracted(odd.limit(0), model).count() == 0 and html_crf.fit(html_crf.labelled_pages(pages.limit(0), table)).decode(feats)
 
 
+@pytest.mark.parametrize("unit", ["<a ", "<a '", "<a \"<x>\" ", "<a \">\" ", "<a x='>\" ", "<div class=c{}>x ", "<!-", "<script>", "&lt;<p>y</b>", "<a href=\"x>"])
+def test_html_of_a_megabyte(unit):
+    """Malformed pages take time in proportion to their length."""
+    html = "<p>begin</p>" + "".join(unit.format(i) for i in range(1_000_000 // len(unit))) + " end"
+    began = time.process_time()
+    page = html_crf.blocks(html)
+    html_crf.ChainField(np.zeros((1 << html_crf.BITS, 2)), np.zeros((2, 2))).labels(page)
+    assert time.process_time() - began < 20 and page.texts[0] == "begin"
+
+
+def test_tag_ends():
+    """Against a search from each place."""
+    rng = random.Random(3)
+
+    def end(html, i):
+        while i < len(html):
+            if html[i] == ">":
+                return i
+            if html[i] in "\"'" and html.find(html[i], i + 1) >= 0:
+                i = html.find(html[i], i + 1)
+            i += 1
+        return -1
+
+    for _ in range(2000):
+        html = "".join(rng.choice("><a\"' ") for _ in range(rng.randint(0, 30)))
+        ends = html_crf._Ends(html)
+        assert [ends.behind(i) for i in range(len(html) + 1)] == [end(html, i) for i in range(len(html) + 1)]
+
+
 def test_viterbi_and_gradient():
     rng = np.random.default_rng(3)
     weight, step = rng.standard_normal((1 << html_crf.BITS, 2)), rng.standard_normal((2, 2))
@@ -348,18 +392,42 @@ def test_viterbi_and_gradient():
     assert field.decode(feats) == best
 
 
+def test_chain_likelihood(monkeypatch):
+    """The training's value and gradient against sums over all labellings of small pages."""
+    rng = np.random.default_rng(5)
+    pages = [([[int(x) for x in rng.integers(0, 6, rng.integers(1, 4))] for _ in range(n)], [int(x) for x in rng.integers(0, 2, n)]) for n in (1, 4, 2, 5)]
+    seen = {}
+
+    def spy(f, x, steps):
+        x = rng.standard_normal(len(x))
+        seen["value"], seen["grad"] = f(x)
+        seen["x"] = x
+        seen["numeric"] = np.array([(f(x + d)[0] - f(x - d)[0]) / 2e-5 for d in np.eye(len(x)) * 1e-5])
+        return x
+
+    monkeypatch.setattr(html_crf, "minimise", spy)
+    field = html_crf.fit_pages(pages, l2=0.3)
+    total = 0.3 / 2 * (seen["x"] ** 2).sum()
+    for feats, y in pages:
+        score = lambda z: sum(field.weight[f, v].sum() for f, v in zip(feats, z)) + sum(field.step[a, b] for a, b in zip(z, z[1:]))  # noqa: B023, E731
+        total += np.log(sum(np.exp(score([k >> i & 1 for i in range(len(y))])) for k in range(1 << len(y)))) - score(y)
+    assert abs(total - seen["value"]) < 1e-8 and np.abs(seen["numeric"] - seen["grad"]).max() < 1e-5
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(4)
     centre = rng.standard_normal((150, 16))
     rows = [(i, c.tolist()) for i, c in enumerate(centre)] + [(1000 + i, (centre[i % 40] + 0.02 * rng.standard_normal(16)).tolist()) for i in range(200)] + [(2000 + i, centre[3].tolist()) for i in range(50)]
     odd = [(5000, None), (5001, [0.0] * 16), (5002, [1.0] * 15), (5003, [float("nan")] * 16), (5004, [None] * 16), (None, [1.0] * 16)]
     table = spark.createDataFrame([(i, v, 1, 2) for i, v in rows + odd], "vec_id long, embedding array<double>, label int, leaf int")
-    got = {r["vec_id"]: r["group_id"] for r in rpforest.groups(table, leaf=32).collect()}
+    found = {name: {r["vec_id"]: r["group_id"] for r in rpforest.groups(table, leaf=32, **more).collect()} for name, more in (("whole", {}), ("rounds", {"top": 1, "held": 20}))}
+    got = found["whole"]
     x = np.array([v for _, v in rows])
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     i, j = np.nonzero(np.triu(x @ x.T >= rpforest.THRESHOLD, 1))
     ids = [k for k, _ in rows]
-    assert np.mean([got[ids[a]] == got[ids[b]] for a, b in zip(i, j)]) > 0.95
+    for x in found.values():
+        assert np.mean([x[ids[a]] == x[ids[b]] for a, b in zip(i, j)]) > 0.95
     parent = {k: k for k in ids}
 
     def find(k):
@@ -370,9 +438,35 @@ def test_embeddings(spark):
     for a, b in zip(i, j):
         a, b = sorted((find(ids[a]), find(ids[b])))
         parent[b] = a
-    assert all(find(k) == find(g) for k, g in got.items() if k in parent)
-    assert all(got[k] == k for k in range(5000, 5005)) and None not in got
+    for x in found.values():
+        assert all(find(k) == find(g) for k, g in x.items() if k in parent)
+        assert all(x[k] == k for k in range(5000, 5005)) and None not in x
     assert rpforest.groups(table.limit(0)).count() == 0
+    named = table.filter("vec_id is null or vec_id < 1010").select(F.concat(F.lit("v"), F.lpad(F.col("vec_id").cast("string"), 6, "0")).alias("vec_id"), "embedding", *[F.lit(1).alias(c) for c in ("id", "tree", "v", "low", "member", "group_id")])
+    assert {r["vec_id"]: r["group_id"] for r in rpforest.groups(named, leaf=32).collect()} == {f"v{k:06d}": f"v{g:06d}" for k, g in got.items() if k < 1010}
+
+
+def test_embeddings_recall():
+    """Of the pairs that a forest should find among many near copies nine in ten meet in a leaf, whether the driver or the tasks cut the trees."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((6000, 48)).astype(np.float32)
+    x[3000:] = x[:3000] + 0.3 * rng.standard_normal((3000, 48)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = np.flatnonzero((x[:3000] * x[3000:]).sum(1) >= rpforest.THRESHOLD)
+    ways = rpforest.directions(rpforest.TREES, 5, 48)
+    met = np.zeros(3000, bool)
+    for t in range(rpforest.TREES):
+        cuts = rpforest.Cuts(x[::3], ways[t])
+        rows, node = np.arange(6000), np.ones(6000, np.int64)
+        for level in range(5):
+            rows, node = rpforest.halves(rows, node, x[rows] @ ways[t, level], cuts.low[node], cuts.high[node])
+        assert np.bincount(node).max() < 6000 / 32 * 2.5 and len(set(rows)) == 6000
+        pairs = set(zip(rows.tolist(), node.tolist()))
+        met |= np.array([any((k + 3000, n) in pairs for n in range(32, 64) if (k, n) in pairs) for k in range(3000)])
+    assert len(near) > 200 and met[near].mean() >= 0.9
+    parts = rpforest.leaves(x, 400)
+    assert max(map(len, parts)) <= 400 and set(np.concatenate(parts)) == set(range(6000))
+    assert [len(p) for p in rpforest.leaves(np.ones((900, 4), np.float32), 100)] == [900]
 
 
 def test_linked_is_exact():
@@ -472,9 +566,15 @@ def test_sampled_pieces(spark):
     for way, p in chance.items():
         assert abs(first[way] / n - p) < 0.03
         assert abs(second[way] / n - sum(q * p / (1 - q) for w, q in chance.items() if w != way)) < 0.03
+    for k in (1, 3, 4):
+        assert_inclusion(pieces, "abc", k)
     odd = docs(spark, AWKWARD)
     rows = gumbel_pieces.decoded(gumbel_pieces.sampled(odd, k=3)).join(odd.select(F.col("doc_id").alias("d"), F.col("text").alias("t")).distinct(), F.col("doc_id") == F.col("d")).collect()
-    assert all(r["decoded"] == r["t"] for r in rows)
+    assert all(r["decoded"] == r["t"] and r["restored"] is (None if r["t"] is None else True) for r in rows)
+    sp = sentencepiece.SentencePieceProcessor(model_file=gumbel_pieces.MODEL)
+    assert all(r["ids"] is None or sp.decode(r["ids"]) == r["t"] for r in rows)
+    odd_ids = spark.createDataFrame([([5000, 9, 1, 2, 31000],), ([],), (None,), ([260, 3, 400],)], "ids array<int>")
+    assert [r["decoded"] for r in gumbel_pieces.decoded(odd_ids).collect()] == [None if r["ids"] is None else sp.decode(r["ids"]) for r in odd_ids.collect()]
     ways = defaultdict(list)
     for r in rows:
         ways[r["doc_id"]].append(tuple(r["ids"] or ()))
@@ -485,6 +585,39 @@ def test_sampled_pieces(spark):
     assert gumbel_pieces.sampled(odd.limit(0)).count() == 0
 
 
+def segmentations(pieces, text):
+    """Every segmentation's edges and probability, listed."""
+    lattice = gumbel_pieces.Lattice(pieces, *gumbel_pieces.parts(*utf8(pa.array([text])))[:2])
+    edges = [(int(a), int(b), float(lattice.log[e])) for e, (a, b) in enumerate(zip(lattice.start, lattice.stop))]
+    ways = [((), 0, 0.0)]
+    done = {}
+    while ways:
+        way, at, log = ways.pop()
+        for e, (a, b, x) in enumerate(edges):
+            if a == at:
+                if lattice.last[e]:
+                    done[(*way, e)] = log + x
+                else:
+                    ways.append(((*way, e), b, log + x))
+    return done
+
+
+def assert_inclusion(pieces, text, k):
+    """Weighing each sample by its inclusion probability estimates sums over all segmentations without bias, for any k; k of all of them is a sample of all."""
+    n = 4000
+    chance = {tuple(x): p for x, p in ((tuple(w), np.exp(v)) for w, v in segmentations(pieces, text).items())}
+    assert abs(sum(chance.values()) - 1) < 1e-9
+    got = gumbel_pieces.sample_batch(pieces, *utf8(pa.array([text] * n)), mix(np.arange(n).astype(np.uint64) + np.uint64(k)), k)
+    assert all(len(x) == min(k, len(chance)) and len({tuple(s[0].tolist()) for s in x}) == len(x) for x in got)
+    ones = [sum(np.exp(s[1] - s[3]) for s in x) if len(x) < len(chance) else 1.0 for x in got]
+    squares = [sum(np.exp(2 * s[1] - s[3]) for s in x) for x in got]
+    want = sum(p * p for p in chance.values())
+    for estimates, truth in ((ones, 1.0), (squares, want)):
+        assert abs(np.mean(estimates) - truth) < 5 * np.std(estimates) / n**0.5 + 1e-9
+    keys = np.array([[s[2] for s in x] for x in got])
+    assert (np.diff(keys, axis=1) <= 0).all()
+
+
 def test_exact_duplicates(spark):
     rng = random.Random(9)
     texts = ["".join(rng.choice("ab") for _ in range(rng.randint(0, 6))) for _ in range(120)] + ["é" * 50, "é" * 50, "e" * 100, "x" * 64 + "y", "x" * 64 + "z", "x" * 65, None, None]
