@@ -156,7 +156,8 @@ def graded(labels: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, ratings: DataFrame, *, grades: int = 3, most_rated: int = 12_000) -> OrdinalModel:
     """Fit on at most ``most_rated`` rated rows, those with the least hash of their id, joined to their texts.
 
-    ``ratings`` has doc_id and grade (0 to grades - 1). With none the model scores 0 with thresholds far below, so it rejects nothing.
+    ``ratings`` has doc_id, of any type, and grade (0 to grades - 1). With none the model scores 0 with thresholds far below, so it rejects nothing. Texts are read
+    whole; a row that repeats a rated id teaches as often as it stands there. A null text teaches nothing, an empty one that it has no word.
     """
     few = F.broadcast(drawn(ratings.select(F.col("doc_id").alias("rated"), "grade"), F.col("rated"), most_rated))
     both = docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("rated")).select("rated", "grade", "text").filter("text is not null")
@@ -169,7 +170,7 @@ def fit(docs: DataFrame, ratings: DataFrame, *, grades: int = 3, most_rated: int
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(len(shares) + 1) * SHARES, pa.int32()), pa.array(shares.ravel(), pa.float64()))
                 yield with_columns(part, ["rated", "grade"], idx=lists, shares=flat)
 
-    got = map_batches(both, run, "rated long, grade int, idx array<int>, shares array<double>").toArrow().sort_by("rated")
+    got = map_batches(both, run, f"rated {both.schema['rated'].dataType.simpleString()}, grade int, idx array<int>, shares array<double>").toArrow().sort_by("rated")
     if not got.num_rows:
         return OrdinalModel(np.zeros(1 << BITS, np.float32), np.zeros(SHARES), np.full(grades - 1, -50.0))
     got = got.combine_chunks()
@@ -184,7 +185,8 @@ def fit(docs: DataFrame, ratings: DataFrame, *, grades: int = 3, most_rated: int
 def rate(docs: DataFrame, model: OrdinalModel, *, least_tail: float = LEAST_TAIL) -> DataFrame:
     """(doc_id, expected_grade, tail, accepted) of each row; ``tail`` is the chance of the top grade, ``accepted`` that it is ``least_tail``.
 
-    A null or empty text has null figures and is rejected. Repeated rows give repeated results; other columns are ignored.
+    A null or empty text has null figures and is rejected; a null id stays null. A text of any length is rated whole, one of blanks alone as one without words. Equal texts
+    have equal figures, and repeated rows give repeated results; other columns are ignored, whatever their names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

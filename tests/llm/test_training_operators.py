@@ -13,7 +13,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from folioscope.llm import bin_completion, block_naming, gumbel_pieces, html_crf, langid_ppm, probminhash, quality_ordinal, rpforest, token_rans, url_rules
-from folioscope.llm.arrow_text import mix, utf8, words
+from folioscope.llm.arrow_text import hashes, mix, utf8, words
 from folioscope.llm.scratch import among, components
 
 SF = "/root/testdata/sf0.001"
@@ -166,6 +166,54 @@ def test_quality(spark):
     assert quality_ordinal.rate(table, free).filter("accepted").count() == 500
 
 
+def rating_features(text):
+    """Words, endings and shares of one text, a word at a time."""
+    count = words_seen = 0
+    shares, words_ = np.zeros(quality_ordinal.SHARES), set()
+    last = None
+    one = lambda x: int(hashes(pa.array([x]))[0])
+    for w in (text or "").encode().split():
+        word = w.decode()
+        count += 1
+        core = word.strip(quality_ordinal._PUNCT)
+        words_.add(one(core.lower()) >> (64 - quality_ordinal.BITS))
+        ending = word[len(word.rstrip(quality_ordinal._PUNCT)) :]
+        if ending:
+            shares[one(ending) % (quality_ordinal.SHARES - 3)] += 1
+        shares[quality_ordinal.SHARES - 3] += word == last
+        shares[quality_ordinal.SHARES - 2] += core.isupper() and len(core) > 1
+        shares[quality_ordinal.SHARES - 1] += core == ""
+        last = word
+    return words_, np.sqrt(shares / max(1, count))
+
+
+def test_quality_features_and_rates(spark):
+    """Features and figures against ones worked out a word at a time; ids may be strings."""
+    rng = random.Random(2)
+    tried = [" ".join(rng.choice(["the", "The", "CAT", "cat.", "«mat»", "x", "!!!", "A", "ÉTÉ", "don't", "end?!", "--", "7"]) for _ in range(rng.randint(0, 40))) for _ in range(60)] + ["", None, " \n\t ", "word " * 5000]
+    idx, bounds, shares = quality_ordinal.features(*utf8(pa.array(tried)))
+    for i, t in enumerate(tried):
+        want, own = rating_features(t)
+        assert set(idx[bounds[i] : bounds[i + 1]].tolist()) == want and bounds[i + 1] - bounds[i] == len(want) and np.allclose(shares[i], own)
+    weights = np.random.default_rng(3).standard_normal(1 << quality_ordinal.BITS).astype(np.float32)
+    model = quality_ordinal.OrdinalModel(weights, np.random.default_rng(4).standard_normal(quality_ordinal.SHARES), np.array([-0.5, 0.4]))
+    table = spark.createDataFrame([(f"d{i}", t, 1.0, 2) for i, t in enumerate(tried)], "doc_id string, text string, tail double, rated int")
+    got = {r["doc_id"]: r for r in quality_ordinal.rate(table, model, least_tail=0.5).collect()}
+    for i, t in enumerate(tried):
+        words_, own = rating_features(t)
+        score = sum(float(weights[w]) for w in words_) * (quality_ordinal.PLENTY / max(len(words_), quality_ordinal.PLENTY)) ** 0.5 + own @ model.share
+        tails = [1 / (1 + np.exp(x - score)) for x in model.thresholds]
+        r = got[f"d{i}"]
+        if not t:
+            assert r["tail"] is None and r["expected_grade"] is None and not r["accepted"]
+        else:
+            assert abs(r["tail"] - tails[1]) < 1e-5 and abs(r["expected_grade"] - sum(tails)) < 1e-5 and r["accepted"] == (r["tail"] >= 0.5)
+    kept = quality_ordinal.accepted_documents(table, model, least_tail=0.5)
+    assert kept.schema == table.schema and {r["doc_id"] for r in kept.collect()} == {k for k, r in got.items() if r["accepted"]}
+    rated = spark.createDataFrame([(f"d{i}", i % 3) for i in range(60)], "doc_id string, grade int")
+    assert (np.diff(quality_ordinal.fit(table, rated).thresholds) > 0).all()
+
+
 def test_quality_of_toxic_rows():
     """Held-out toxic rows of good quality, few words of which are toxic, are rejected by default, and good and clean ones aren't."""
     table = lambda name, *columns: ds.dataset(f"/root/testdata/sf0.1/{name}.parquet").to_table(columns=list(columns))
