@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,8 +77,8 @@ def matched(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", url_
 
     ``rules`` has rule_id, rule and action; of rules with the same key the one of the least rule_id counts. A page that none covers has
     a null rule, action ``allow`` and depth 0, and so has a null URL or one without a host, whose key is null. Rules with a null rule
-    or no host are ignored. Repeated pages give repeated rows; other columns are ignored. ``sample`` keys set the ends
-    of the ranges, which affects the balance of the work and no result.
+    or no host are ignored. Repeated pages give repeated rows; other columns are ignored, whatever their names. A URL of any length is one key. ``sample`` keys set the ends
+    of the ranges, which affects the balance of the work and no result; they reach the driver and the tasks, so long URLs cost memory there.
     """
     spark = pages.sparkSession
     keyed = pages.select(F.col(id_col).alias("id"), canonical_key(F.col(url_col)).alias("key"))
@@ -87,18 +89,26 @@ def matched(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", url_
     n = ranges or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # a bounded sample of the keys: those of least hash, whole ties kept apart by the key
     keys = sorted(r[0] for r in drawn(have.select("key", "id"), F.struct("key", "id"), sample).select("key").collect())
-    ends = sorted({keys[len(keys) * i // n] for i in range(1, n)}) if keys else []
+    ends = np.array([keys[len(keys) * i // n] for i in range(1, n)] if keys else [], object)
     shared = spark.sparkContext.broadcast(ends)
 
+    # a key that many rows have ends several ranges; its rows are dealt out over them, and the rules that cover it go to all
     @F.pandas_udf("int")
-    def of(key):  # type: ignore[no-untyped-def]
-        from bisect import bisect_right
+    def of(key: pd.Series) -> pd.Series:
+        low, high = (np.searchsorted(shared.value, key.to_numpy(), side) for side in ("left", "right"))
+        return pd.Series(np.where(high > low, low + 1 + np.arange(len(key)) % np.maximum(high - low, 1), high).astype(np.int32))
 
-        at = shared.value
-        return key.map(lambda k: bisect_right(at, k)).astype("int32")
+    @F.pandas_udf("int")
+    def first(key: pd.Series) -> pd.Series:
+        low, high = (np.searchsorted(shared.value, key.to_numpy(), side) for side in ("left", "right"))
+        return pd.Series(np.minimum(low + 1, high).astype(np.int32))
+
+    @F.pandas_udf("int")
+    def last(key: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(shared.value, key.to_numpy(), "right").astype(np.int32))
 
     placed = have.select("id", "key", of("key").alias("range"), F.lit(None).cast("long").alias("rule_id"), F.lit(None).cast("string").alias("action"))
-    spread = given.select("key", of("key").alias("low"), of(F.concat("key", F.lit(AFTER))).alias("high"), "rule_id", "action")
+    spread = given.select("key", first("key").alias("low"), last(F.concat("key", F.lit(AFTER))).alias("high"), "rule_id", "action")
     spread = spread.select(F.lit(None).cast(kind).alias("id"), "key", F.explode(F.sequence("low", "high")).alias("range"), "rule_id", "action")
     rows = placed.union(spread).repartition(F.col("range")).sortWithinPartitions("range", "key", F.col("rule_id").asc_nulls_last())
     swept = map_batches(rows, _sweep, f"id {kind}, key string, rule_id long, action string, depth int")

@@ -117,8 +117,8 @@ def test_url_rules(spark):
     labels = ["a", "b", "c", "com", "org"]
     host = lambda: ".".join(rng.choice(labels) for _ in range(rng.randint(1, 4)))
     path = lambda: "".join("/" + rng.choice("xyz") for _ in range(rng.randint(0, 4)))
-    pages = [(i, rng.choice(["http://", "HTTPS://www.", "//u@"]) + host() + rng.choice(["", ":80", "."]) + path() + rng.choice(["", "?q=/x", "#f"])) for i in range(400)] + [(400, None), (401, ""), (402, "http:///x"), (5, "http://a.com")]
-    rules = [(i, host() + path() if i % 2 else host(), f"act{i % 3}") for i in range(60)] + [(99, None, "deny"), (98, "", "deny"), (60, "com", "deny"), (61, "COM", "allow")]
+    pages = [(i, rng.choice(["http://", "HTTPS://www.", "//u@"]) + host() + rng.choice(["", ":80", "."]) + path() + rng.choice(["", "?q=/x", "#f"])) for i in range(400)] + [(400, None), (401, ""), (402, "http:///x"), (5, "http://a.com"), (403, "http://a.com/" + "x/" * 20_000)] + [(500 + i % 90, "http://c.com/x/y") for i in range(200)]
+    rules = [(i, host() + path() if i % 2 else host(), f"act{i % 3}") for i in range(60)] + [(99, None, "deny"), (98, "", "deny"), (60, "com", "deny"), (61, "COM", "allow"), (62, "c.com/x/y", "act0"), (63, "c.com/x/yz", "act1")]
     table = spark.createDataFrame([(i, u, "r", "k") for i, u in pages], "page_id long, url string, range string, key string")
     given = url_rules.rules_table(spark, rules)
     got = url_rules.matched(table, given, ranges=7).collect()
