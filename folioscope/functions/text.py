@@ -11,14 +11,16 @@ STOP_WORDS = tuple("a an and are as at be by for from in into is of on or that t
 
 
 def _folding() -> tuple[str, str, dict[str, str]]:
-    """Characters that decompose to one ASCII character, what each becomes, and those that become several."""
+    """Of all of Unicode the characters that decompose to one ASCII character, what each becomes, and those that become several."""
     one, to, more = [], [], {}
-    for c in range(0x80, 0x10000):
+    for c in range(0x80, 0x110000):
+        if 0x3400 <= c < 0xA000 or 0xAC00 <= c < 0xF900 or 0x20000 <= c < 0xE0000:
+            continue  # ideographs, syllables, surrogates and private ones, none of which holds an ASCII character
         plain = unicodedata.normalize("NFKD", chr(c)).encode("ascii", "ignore").decode()
         if len(plain) == 1:
             one.append(chr(c))
             to.append(plain)
-        elif plain and (c < 0x250 or 0x2000 <= c < 0x2200 or 0xFB00 <= c < 0xFB07):
+        elif plain:
             more[chr(c)] = plain
     return "".join(one), "".join(to), more
 
@@ -28,10 +30,12 @@ _ONE, _TO, _MORE = _folding()
 
 def fold(x: Column) -> Column:
     """Compatibility decomposition with all but ASCII dropped: ``é`` gives ``e``, ``ﬁ`` gives ``fi``, ``ß`` gives nothing."""
-    # one fold over a literal list, as a chain of 150 replacements would be too much code to compile
-    many = F.aggregate(F.array(*[F.lit(a + b) for a, b in _MORE.items()]), x, lambda s, p: F.replace(s, F.substring(p, 1, 1), F.substring(p, 2, 9)))
-    x = F.when(x.rlike("[" + "".join(_MORE) + "]"), many).otherwise(x)
-    return F.when(x.rlike("[^\\x00-\\x7F]"), F.regexp_replace(F.translate(x, _ONE, _TO), "[^\\x00-\\x7F]", "")).otherwise(x)
+    several = "([" + "".join(_MORE) + "])"
+    to = F.create_map(*[F.lit(c) for pair in _MORE.items() for c in pair])
+    # the few characters that a text has of those that become several are replaced one after the other
+    many = F.aggregate(F.array_distinct(F.regexp_extract_all(x, F.lit(several), F.lit(1))), x, lambda s, c: F.replace(s, c, F.element_at(to, c)))
+    plain = F.translate(F.when(x.rlike(several), many).otherwise(x), _ONE, _TO)
+    return F.when(x.rlike("[^\\x00-\\x7F]"), F.regexp_replace(plain, "[^\\x00-\\x7F]", "")).otherwise(x)
 
 
 def words_of(x: Column) -> Column:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -20,3 +21,17 @@ def cut(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or "file://" + tempfile.mkdtemp(prefix="folioscope-"))
     return df.checkpoint()
+
+
+def placed(df: DataFrame, by: str, order: str, name: str = "place") -> DataFrame:
+    """``df`` with the place of each row, from 0, among those of the same ``by`` in the ``order``, which has no ties.
+
+    No task needs all rows of one ``by``: ranges of rows are numbered by themselves and each begins where those before it end.
+    """
+    ranged = df.repartitionByRange(by, order).sortWithinPartitions(by, order).withColumn("_at", F.monotonically_increasing_id())
+    ranged = cut(ranged.withColumn("_range", F.expr("_at div 8589934592")))
+    first = ranged.groupBy(by, "_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = first.select(F.col(by).alias("_by"), F.col("_range").alias("_of"), "_first", before.alias("_before"))
+    both = ranged.join(starts, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_range") == F.col("_of")))
+    return both.withColumn(name, F.col("_before") + F.col("_at") - F.col("_first")).drop("_at", "_range", "_first", "_by", "_of", "_before")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioscope.functions.text import latex, year_within
+from folioscope.lineage import cut, placed
 
 
 def base_keys(records: DataFrame) -> DataFrame:
@@ -21,18 +24,38 @@ def base_keys(records: DataFrame) -> DataFrame:
 
 
 def cite_keys(keyed: DataFrame) -> DataFrame:
-    """``citekey``: the base for its first record by ``ord``, and 1, 2, ... after it for the others, passing over keys that are bases themselves.
+    """``citekey``: in the order of ``ord`` each record gets its base, or the base with the first of 1, 2, ... behind it that no record before it has.
 
-    Bases are told apart in the cluster; a made key that is another's base moves on by joining it to all bases until none is left.
+    A base's records mostly have a key to themselves, which is told from their place. Only where a base may be what another base and a number make do records of several bases
+    depend on each other; those, which are few, are settled one after the other within what is left of their base without its last digits.
     """
-    place = F.row_number().over(Window.partitionBy("base").orderBy("ord")) - 1
-    rows = keyed.withColumn("n", place)
-    bases = keyed.select(F.col("base").alias("taken")).distinct()
-    tries = rows.groupBy("base").agg(F.max("n").alias("most")).filter("most > 0")
-    made = tries.select("base", F.explode(F.sequence(F.lit(1), F.col("most") * 2 + 8)).alias("k")).withColumn("key", F.concat("base", F.col("k").cast("string")))
-    free = made.join(bases, made["key"] == bases["taken"], "left_anti").withColumn("n", F.row_number().over(Window.partitionBy("base").orderBy("k")))
-    out = rows.join(free.select("base", "n", "key"), ["base", "n"], "left")
-    return out.withColumn("citekey", F.when(F.col("n") == 0, F.col("base")).otherwise(F.col("key"))).drop("n", "key")
+    sizes = cut(keyed.groupBy("base").agg(F.count(F.lit(1)).alias("n")))
+    digits = F.length(F.regexp_extract("base", "([0-9]+)$", 1))
+    tails = sizes.filter((digits > 0) & (F.length("base") > 1)).select("base", "n", F.explode(F.sequence(F.lit(1), F.least(digits, F.length("base") - 1, F.lit(18)))).alias("k"))
+    tails = tails.select("base", "n", F.expr("left(base, length(base) - k)").alias("front"), F.expr("right(base, k)").alias("tail")).filter("NOT startswith(tail, '0') AND front <> ''")
+    reach = tails.groupBy("front").agg(F.sum("n").alias("others"))
+    fronts = sizes.select(F.col("base").alias("front"), F.col("n").alias("own")).filter("own > 1")
+    edges = tails.join(fronts, "front").join(reach, "front").filter("CAST(tail AS BIGINT) <= own + others")
+    tangled = cut(edges.select(F.col("base").alias("tangled")).union(edges.select("front")).distinct())
+    rows = placed(keyed, "base", "ord", "n")
+    alone = rows.join(tangled, F.col("base") == F.col("tangled"), "left_anti")
+    alone = alone.withColumn("citekey", F.when(F.col("n") == 0, F.col("base")).otherwise(F.concat("base", F.col("n").cast("string")))).drop("n")
+    rest = keyed.join(tangled, F.col("base") == F.col("tangled"), "left_semi").withColumn("_stem", F.regexp_replace("base", "[0-9]+$", ""))
+    schema = T.StructType([*keyed.schema.fields, T.StructField("citekey", T.StringType())])
+    return alone.select(*keyed.columns, "citekey").union(rest.groupBy("_stem").applyInPandas(_in_turn, schema))
+
+
+def _in_turn(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.drop(columns="_stem").sort_values("ord")
+    used, tried, keys = set(), {}, []
+    for base in rows["base"]:
+        key = base
+        while key in used:
+            tried[base] = tried.get(base, 0) + 1
+            key = f"{base}{tried[base]}"
+        used.add(key)
+        keys.append(key)
+    return rows.assign(citekey=keys)
 
 
 def entries(keyed: DataFrame) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioscope.functions.text import base_name, doi_within, match_key, parsed_base_name, title_hint
+from folioscope.functions.text import doi_within, match_key, parsed_base_name, title_hint
 from folioscope.lineage import cut
+from folioscope.operators.containment import contained
 
-LEAST_KEY, LEAD, BLOCK = 24, 8, 12
+LEAD = 8
 
 
 def preferred(candidates: DataFrame, by: str) -> DataFrame:
@@ -25,29 +26,11 @@ def exact_titles(items: DataFrame, records: DataFrame) -> DataFrame:
     return preferred(both, "item")
 
 
-def _contained(short: DataFrame, long: DataFrame) -> DataFrame:
-    """Pairs in which ``short``'s key is part of ``long``'s, both at least 24 characters.
-
-    Every key that another contains holds that key's first characters somewhere, so runs of 12 make an equal join of what would be a nested
-    loop. The rarest of a key's aligned runs is sought, so that a common beginning doesn't flood the join.
-    """
-    s = short.filter(F.length("key") >= LEAST_KEY).select(F.col("id").alias("sid"), F.col("key").alias("skey")).distinct()
-    # one regular expression gives all runs in a pass; runs are compared by hash and the keys themselves at the end
-    runs = lambda key, pattern: F.transform(F.regexp_extract_all(key, F.lit(pattern), F.lit(1)), lambda r: F.xxhash64(r))
-    own = long.filter(F.length("key") >= LEAST_KEY).select(F.col("id").alias("lid"), F.col("key").alias("lkey"))
-    pieces = s.select("sid", "skey", F.explode(runs("skey", f"(.{{{BLOCK}}})")).alias("run")).distinct()
-    spread = own.select("lid", F.explode(F.array_distinct(runs("lkey", f"(?=(.{{{BLOCK}}}))"))).alias("run"))
-    common = cut(spread.join(pieces.select("run").distinct(), "run", "left_semi"))
-    often = common.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
-    best = pieces.join(often, "run", "left").groupBy("sid", "skey").agg(F.min_by("run", F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("run"))).alias("run"))
-    hits = best.join(common, "run").join(own, "lid").filter(F.contains("lkey", "skey"))
-    return hits.select("sid", "lid", F.length("skey").alias("score")).distinct()
-
-
 def partial_pairs(items: DataFrame, records: DataFrame) -> DataFrame:
     """(item, base_name, score, citations): one key within the other, the score being the shorter's length, best for each base name."""
-    a = _contained(items.select(F.col("item").alias("id"), "key"), records.select(F.col("base_name").alias("id"), "key")).select(F.col("sid").alias("item"), F.col("lid").alias("base_name"), "score")
-    b = _contained(records.select(F.col("base_name").alias("id"), "key"), items.select(F.col("item").alias("id"), "key")).select(F.col("lid").alias("item"), F.col("sid").alias("base_name"), "score")
+    items, records = cut(items.select("item", "key")), cut(records.select("base_name", "key", "citations"))
+    a = contained(items.select(F.col("item").alias("id"), "key"), records.select(F.col("base_name").alias("id"), "key")).select(F.col("sid").alias("item"), F.col("lid").alias("base_name"), "score")
+    b = contained(records.select(F.col("base_name").alias("id"), "key"), items.select(F.col("item").alias("id"), "key")).select(F.col("lid").alias("item"), F.col("sid").alias("base_name"), "score")
     cited = records.groupBy("base_name").agg(F.max(F.coalesce("citations", F.lit(-1))).alias("citations"))
     return a.union(b).groupBy("item", "base_name").agg(F.max("score").alias("score")).join(cited, "base_name")
 
@@ -57,8 +40,8 @@ def partial_titles(items: DataFrame, records: DataFrame) -> DataFrame:
     pairs = cut(partial_pairs(items, records))
     w = Window.partitionBy("item")
     best = pairs.withColumn("top", F.max("score").over(w)).withColumn("second", F.nth_value("score", 2).over(w.orderBy(F.desc("score"), "base_name").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    clear = best.filter("score = top AND (second IS NULL OR top - second >= 8)").select("item", "base_name", "score")
-    tied = preferred(best.filter("score = top AND second IS NOT NULL AND top - second < 8"), "item").join(best.select("item", "base_name", "score").distinct(), ["item", "base_name"])
+    clear = best.filter(f"score = top AND (second IS NULL OR top - second >= {LEAD})").select("item", "base_name", "score")
+    tied = preferred(best.filter(f"score = top AND second IS NOT NULL AND top - second < {LEAD}"), "item").join(best.select("item", "base_name", "score").distinct(), ["item", "base_name"])
     return clear.union(tied.select("item", "base_name", "score"))
 
 
@@ -100,6 +83,3 @@ def rename_plan(found: DataFrame) -> DataFrame:
     last = F.max("file").over(Window.partitionBy("base_name"))
     return found.select(F.col("file").alias("source"), F.when(F.col("base_name").isNotNull(), F.concat("base_name", F.lit(".pdf"))).alias("target"), F.when(F.col("base_name").isNull(), "unmatched").when(F.col("file") == last, "copied").otherwise("overwritten").alias("status"))
 
-
-def doi_names(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("base_name", base_name(F.col("doi")))

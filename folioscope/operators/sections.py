@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioscope.functions.text import is_abstract, section_title, short_upper, split_words, without_definitions, word_count
+from folioscope.functions.text import is_abstract, section_title, short_upper, without_definitions, word_count
 
 DROP = ("abstract", "introduction", "discussion", "conclusion", "conclusions", "references")
 KEEP = ("method", "methods", "result", "results")
@@ -141,6 +141,3 @@ def lines_of(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, ord, line) of each line."""
     return docs.select("doc_id", F.posexplode(F.split(text, "\n")).alias("ord", "line"))
 
-
-def words_in(x: Column) -> Column:
-    return F.size(split_words(x))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from folioscope.functions import scoring
 from folioscope.functions import text as T
-from folioscope.operators import bibliography, claims, merge, registry, resolve, sections, seeds, terms
+from folioscope.operators import bibliography, claims, containment, merge, registry, resolve, sections, seeds, terms
 from folioscope.sources import files
 from folioscope.streaming import registry as stream
 
@@ -203,3 +203,36 @@ def test_resolved(spark):
     names = ["doi-10.1-z.pdf", "D9__doi-10.1-y.pdf", "Beta bibliography.pdf", "attached.pdf", "X - 2004 - Alpha study.pdf", long_[:40] + ".pdf", "unknown.pdf"]
     got = {r["file"]: (r["base_name"], r["strategy"]) for r in resolve.resolved(spark.createDataFrame([(n,) for n in names], "file string"), meta, bib, relations).collect()}
     assert [got[n] for n in names] == [("doi-10.1-z", "named"), ("doi-10.1-y", "named"), ("doi-10.1-b", "bib_exact"), ("doi-10.1-a", "relations_exact"), ("doi-10.1-a", "metadata_exact"), ("doi-10.1-c", "metadata_partial"), (None, None)]
+
+
+def test_fold_of_all_of_unicode(spark):
+    every = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000]
+    rows = [(k, "a" + "z".join(every[k : k + 100])) for k in range(0, len(every), 100)]
+    got = spark.createDataFrame(rows, "c int, t string").select("t", T.fold(F.col("t")).alias("f")).collect()
+    assert all(r["f"] == unicodedata.normalize("NFKD", r["t"]).encode("ascii", "ignore").decode() for r in got)
+
+
+def test_cite_keys_in_turn(spark):
+    rng = random.Random(1)
+    lists = [[rng.choice(["A", "A1", "A11", "A111", "B", "B2", "B20", "C", "C01", "7", "77"]) for _ in range(300)], ["A"] * 12 + ["A1"] * 2, ["D"] * 5, ["E9"]]
+    for bases in lists:
+        used, want = set(), []
+        for b in bases:
+            key, n = b, 0
+            while key in used:
+                n += 1
+                key = f"{b}{n}"
+            used.add(key)
+            want.append(key)
+        rows = spark.createDataFrame([(b, i) for i, b in enumerate(bases)], "base string, ord int")
+        assert [r["citekey"] for r in bibliography.cite_keys(rows).orderBy("ord").collect()] == want
+
+
+def test_contained_keys(spark):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("ab1") for _ in range(rng.randint(0, 200))) for _ in range(40)]
+    short = [(f"s{i}", t[a : a + rng.randint(20, 60)]) for i, t in enumerate(texts) for a in (rng.randint(0, max(0, len(t) - 30)),)] + [("s99", texts[0]), ("s98", "x" * 40), ("s97", "x" * 24), ("s96", None)]
+    long = [(f"l{i}", t) for i, t in enumerate(texts)] + [("l98", "x" * 300)]
+    for a, b in ((short, long), (long, short), (short, long[:0])):
+        got = {tuple(r) for r in containment.contained(spark.createDataFrame(a, "id string, key string"), spark.createDataFrame(b, "id string, key string")).collect()}
+        assert got == {(i, j, len(x)) for i, x in a for j, y in b if x and y and len(x) >= 24 and x in y}
