@@ -174,7 +174,7 @@ def _resolved(spark: SparkSession, sf: str) -> DataFrame:
     d = titled(spark, sf).withColumn("base_name", F.concat(F.lit("doi-10.5555-d"), F.col("paper_id").cast("string"))).withColumn("doi", F.concat(F.lit("10.5555/d"), F.col("paper_id").cast("string")))
     meta = d.select("doi", "base_name", T.match_key(F.col("title")).alias("key"), F.col("citation_count").alias("citations"))
     i, name = F.col("paper_id"), F.col("title")
-    file = F.when(i % 5 == 0, F.concat("base_name", F.lit(".pdf"))).when(i % 5 == 1, F.concat(F.lit("copy of 10.5555/d"), i.cast("string"), F.lit("_.pdf"))).when(i % 5 == 2, F.concat(F.lit("A - 2004 - "), name, F.lit(".pdf"))).when(i % 5 == 3, F.concat(F.substring(name, 1, 60), F.lit(".PDF"))).otherwise(F.concat(F.lit("scan "), i.cast("string"), F.lit(".pdf")))
+    file = F.when(i % 10 == 5, F.concat(F.lit("D"), i.cast("string"), F.lit("__"), "base_name", F.lit(".pdf"))).when(i % 5 == 0, F.concat("base_name", F.lit(".pdf"))).when(i % 5 == 1, F.concat(F.lit("copy of 10.5555/d"), i.cast("string"), F.lit("_.pdf"))).when(i % 5 == 2, F.concat(F.lit("A - 2004 - "), name, F.lit(".pdf"))).when(i % 5 == 3, F.concat(F.substring(name, 1, 60), F.lit(".PDF"))).otherwise(F.concat(F.lit("scan "), i.cast("string"), F.lit(".pdf")))
     files = d.select(file.alias("file")).distinct()
     bib = d.filter("paper_id % 2 = 0").select("doi", T.match_key(name).alias("key"))
     relations = d.filter("paper_id % 3 = 0").select("base_name", T.match_key(name).alias("key"))

@@ -46,7 +46,7 @@ def partial_titles(items: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def resolved(files: DataFrame, metadata: DataFrame, bib: DataFrame, relations: DataFrame) -> DataFrame:
-    """(file, base_name, strategy) of each name: named already, a known DOI within it, then by title the bibliography, relations and metadata.
+    """(file, base_name, strategy) of each name: named already (``legacy`` where its document id stands before), a known DOI within it, then by title the bibliography, relations and metadata.
 
     ``metadata`` has doi, base_name, key and citations, ``bib`` doi and key, ``relations`` base_name and key. Later strategies see only
     names that earlier ones left, so the costly ones run on few. One that none settles has a null base name and strategy.
@@ -55,7 +55,7 @@ def resolved(files: DataFrame, metadata: DataFrame, bib: DataFrame, relations: D
     p = parsed_base_name(F.col("stem"))
     f = f.withColumn("named", F.when(p["format"] == "doi", F.col("stem")).when(p["format"] == "legacy", F.concat(F.lit("doi-"), p["doi_slug"]))).withColumn("doi", doi_within(F.col("stem"))).withColumn("key", match_key(title_hint(F.col("stem"))))
     known = metadata.select("doi", "base_name").distinct()
-    one = f.filter("named IS NOT NULL").select("file", F.col("named").alias("base_name"), F.lit("named").alias("strategy"))
+    one = f.filter("named IS NOT NULL").select("file", F.col("named").alias("base_name"), F.when(F.col("stem") == F.col("named"), "named").otherwise("legacy").alias("strategy"))
     left = f.filter("named IS NULL")
     two = left.join(known, "doi").select("file", "base_name", F.lit("doi").alias("strategy"))
     two, left = cut(two), cut(left.join(two, "file", "left_anti"))
@@ -73,9 +73,10 @@ def resolved(files: DataFrame, metadata: DataFrame, bib: DataFrame, relations: D
 
 
 def match_audit(found: DataFrame) -> DataFrame:
-    """(bucket, n): total, already_doi, matched and unmatched, 0 where there is none."""
-    row = found.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("strategy") == "named").alias("already_doi"), F.count_if(F.col("base_name").isNotNull() & (F.col("strategy") != "named")).alias("matched"), F.count_if(F.col("base_name").isNull()).alias("unmatched"))
-    return row.unpivot([], ["total", "already_doi", "matched", "unmatched"], "bucket", "n")
+    """(bucket, n): total, already_doi, legacy, matched and unmatched, 0 where there is none."""
+    s = F.col("strategy")
+    row = found.agg(F.count(F.lit(1)).alias("total"), F.count_if(s == "named").alias("already_doi"), F.count_if(s == "legacy").alias("legacy"), F.count_if(~s.isin("named", "legacy")).alias("matched"), F.count_if(s.isNull()).alias("unmatched"))
+    return row.unpivot([], ["total", "already_doi", "legacy", "matched", "unmatched"], "bucket", "n")
 
 
 def rename_plan(found: DataFrame) -> DataFrame:

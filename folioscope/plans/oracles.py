@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from folioscope.functions.text import STOP_WORDS
+from folioscope.operators.claims import KEYS
 from folioscope.operators.sections import DROP, KEEP
 
 TOPICS = {"warm": ["hot", "red"], "cool": ["cold", "blue widget", "the cold", "blue bolt"], "fasteners": ["bolt", "ring", "hot rod"], "large things": ["large", "large anvil"], "never": ["four words never match"]}
@@ -112,6 +113,67 @@ _STATUS = """
     WITH have AS (SELECT 'doi-' || d.doc_id AS base_name, true AS metadata, d.lang = 'en' AS pdf, d.doc_id % 2 = 0 AS docling, l.doc_id IS NOT NULL AS filtered,
                   coalesce(l.quality = 1, false) AS final, coalesce(l.toxic = 0, false) AS claims FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
     status AS (SELECT base_name, coalesce(pdf, false) AS pdf, metadata, docling, filtered, final, claims, filtered AND final AS heuristics, docling AND filtered AND final AND claims AS completed FROM have)"""
+
+
+def _excluded(term: str) -> str:
+    return f"""(len(list_filter(string_split({term}, ' '), lambda w: regexp_full_match(w, '[0-9]{{4}}'))) > 0 OR regexp_full_match(split_part({term}, ' ', 1), '[0-9]+') OR regexp_full_match(split_part({term}, ' ', -1), '[0-9]+')
+        OR (contains({term}, ' ') AND len(list_filter(string_split({term}, ' '), lambda w: w NOT IN ('global', 'worldwide', 'national', 'international', 'european', 'american'))) = 0))"""
+
+
+def _rules() -> str:
+    """Each rule takes what those before it left, or nothing where too few terms match."""
+    out = f"WITH {_SHORT}, {_terms('short')}, l0 AS (SELECT term FROM gram WHERE n <= 2 AND NOT {_excluded('term')} GROUP BY 1 HAVING count(DISTINCT paper_id) >= 2)"
+    for k, (_, patterns) in enumerate(RULES):
+        hit = " OR ".join(f"contains(term, '{p}')" for p in patterns)
+        out += f", m{k} AS (SELECT term FROM l{k} WHERE ({hit}) AND (SELECT count(*) FROM l{k} WHERE {hit}) >= 2), l{k + 1} AS (SELECT term FROM l{k} WHERE term NOT IN (SELECT term FROM m{k}))"
+    return out + " UNION ALL ".join(f" SELECT * FROM (SELECT '{t}' AS topic, term AS keyword, row_number() OVER (ORDER BY term) AS keyword_pos FROM m{k}) WHERE keyword_pos <= 10" for k, (t, _) in enumerate(RULES))
+
+
+def _cascade() -> str:
+    """Files by their own name, a DOI within it, and then the titles of each source, whole before in part."""
+    key = _key("CASE WHEN hint <> '' THEN hint ELSE trim(stem, ' ') END")
+    out = f"""WITH {_TITLED}, d AS (SELECT *, 'doi-10.5555-d' || paper_id AS base_name, '10.5555/d' || paper_id AS doi, {_key('title')} AS tkey FROM titled),
+        names AS (SELECT DISTINCT CASE WHEN paper_id % 10 = 5 THEN 'D' || paper_id || '__' || base_name || '.pdf' WHEN paper_id % 5 = 0 THEN base_name || '.pdf' WHEN paper_id % 5 = 1 THEN 'copy of 10.5555/d' || paper_id || '_.pdf'
+                         WHEN paper_id % 5 = 2 THEN 'A - 2004 - ' || title || '.pdf' WHEN paper_id % 5 = 3 THEN substr(title, 1, 60) || '.PDF' ELSE 'scan ' || paper_id || '.pdf' END AS file FROM d),
+        stems AS (SELECT file, stem, trim(regexp_extract(stem, '\\s-\\s[0-9]{{4}}\\s-\\s(.+)$', 1), ' ') AS hint FROM (SELECT file, regexp_replace(file, '(?i)\\.pdf$', '') AS stem FROM names)),
+        f AS (SELECT file, stem, regexp_extract(stem, '^(?:[^_]+__)?(doi-.+)$', 1) AS named, lower(regexp_replace(regexp_extract(stem, '(?i)10\\.[0-9]{{4,9}}/[-._;()/:a-z0-9]+'), '[.,;:_-]+$', '')) AS doi, {key} AS key FROM stems),
+        r0 AS (SELECT file, named AS base_name, CASE WHEN stem = named THEN 'named' ELSE 'legacy' END AS strategy FROM f WHERE named <> '' UNION ALL SELECT DISTINCT file, d.base_name, 'doi' FROM f JOIN d ON d.doi = f.doi WHERE named = ''),
+        l0 AS (SELECT file AS item, key FROM f WHERE file NOT IN (SELECT file FROM r0))"""
+    found = ["SELECT * FROM r0"]
+    for k, (name, some) in enumerate((("bib", "paper_id % 2 = 0"), ("relations", "paper_id % 3 = 0"), ("metadata", "true"))):
+        out += f""", s{k} AS (SELECT base_name, tkey AS key, citation_count AS citations FROM d WHERE {some}),
+        c{k} AS (SELECT item, base_name, citations FROM l{k} JOIN s{k} USING (key) WHERE key <> ''), e{k} AS ({_preferred(f"c{k}")}),
+        h{k} AS (SELECT * FROM l{k} WHERE item NOT IN (SELECT item FROM e{k})),
+        p{k} AS (SELECT item, base_name, max(least(length(i.key), length(r.key))) AS score, max(citations) AS citations FROM h{k} i JOIN s{k} r ON length(i.key) >= 24 AND length(r.key) >= 24 AND (contains(i.key, r.key) OR contains(r.key, i.key)) GROUP BY 1, 2),
+        q{k} AS (SELECT *, max(score) OVER (PARTITION BY item) AS top, nth_value(score, 2) OVER (PARTITION BY item ORDER BY score DESC, base_name ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS second FROM p{k}),
+        t{k} AS (SELECT * FROM q{k} WHERE score = top AND top - second < 8),
+        w{k} AS (SELECT item, base_name FROM q{k} WHERE score = top AND (second IS NULL OR top - second >= 8) UNION ALL {_preferred(f"t{k}")}),
+        l{k + 1} AS (SELECT * FROM h{k} WHERE item NOT IN (SELECT item FROM w{k}))"""
+        found += [f"SELECT item, base_name, '{name}_exact' FROM e{k}", f"SELECT item, base_name, '{name}_partial' FROM w{k}"]
+    return out + f", resolved AS ({' UNION ALL '.join(found)} UNION ALL SELECT item, NULL, NULL FROM l3)"
+
+
+_LATEX = lambda x: f"regexp_replace({x}, '([&%$#_])', '\\\\\\1', 'g')"
+_BIB = f"""WITH {_SHORT}, r AS (SELECT *, CASE WHEN paper_id % 4 = 0 THEN '' ELSE 'Ann ' || upper(title[1]) || split_part(title, ' ', 1)[2:] END AS author, CASE WHEN paper_id % 2 = 0 THEN journal END AS j FROM short),
+    b AS (SELECT *, CASE WHEN author = '' THEN substr(printf('part%08d', paper_id), 1, 8) ELSE split_part(author, ' ', 2) || year END AS base FROM r), k AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY paper_id) - 1 AS n FROM b)
+    SELECT CASE WHEN n = 0 THEN base ELSE base || n END AS citekey, '@article{{' || (CASE WHEN n = 0 THEN base ELSE base || n END) || chr(44) || chr(10) || array_to_string(list_filter(['  title = {{' || {_LATEX("title || ' & 100%'")} || '}}', '  author = {{' || author || '}}', '  year = {{' || year || '}}',
+        CASE WHEN j <> '' THEN '  journal = {{' || {_LATEX("j")} || '}}' END, '  doi = {{10.5555/' || paper_id || '}}'], lambda x: x IS NOT NULL), chr(44) || chr(10)) || chr(10) || '}}' AS entry FROM k"""
+
+
+def _claims() -> str:
+    """The outputs of the query, made alike, and judged claim by claim as JSON."""
+    full = ", ".join(f'"{k}": "x"' for k in KEYS if k not in ("keywords", "statistics", "confidence"))
+    good = "[{" + full + ', "keywords": ["a"], "statistics": {"p_value": "0.1"}, "confidence": 0.9}]'
+    text = " ".join(f"WHEN coalesce(json_type(c, '$.{k}') <> 'VARCHAR', true) OR trim(json_extract_string(c, '$.{k}'), ' ') = '' THEN 'invalid {k}'" for k in ("claim_family", "support_section", "claim_text", "evidence_span"))
+    return f"""WITH o AS (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '{good}' WHEN 1 THEN replace('{good}', '"confidence": 0.9', '"confidence": "high"') WHEN 2 THEN replace('{good}', '"arm": "x", ', '') WHEN 3 THEN '{{}}' ELSE 'no json' END AS output FROM documents),
+        j AS (SELECT doc_id, CASE WHEN json_valid(output) THEN CAST(output AS JSON) END AS v FROM o),
+        c AS (SELECT doc_id, unnest(range(0, CAST(json_array_length(v) AS BIGINT))) AS pos, unnest(json_extract(v, '$[*]')) AS c FROM j WHERE json_type(v) = 'ARRAY'),
+        w AS (SELECT doc_id, pos, CASE WHEN coalesce(json_type(c) <> 'OBJECT', true) THEN 'not an object' WHEN len(list_filter({_list(KEYS)}, lambda k: NOT list_contains(json_keys(c), k))) > 0 THEN 'missing ' || array_to_string(list_sort(list_filter({_list(KEYS)}, lambda k: NOT list_contains(json_keys(c), k))), ', ')
+              {text} WHEN coalesce(json_type(c, '$.confidence') NOT IN ('UBIGINT', 'BIGINT', 'DOUBLE', 'BOOLEAN'), true) THEN 'invalid confidence' WHEN coalesce(json_type(c, '$.keywords') <> 'ARRAY', true) THEN 'invalid keywords' WHEN coalesce(json_type(c, '$.statistics') <> 'OBJECT', true) THEN 'invalid statistics' END AS why FROM c),
+        x AS (SELECT doc_id, arg_min('claim ' || pos || ' ' || why, pos) AS why FROM w WHERE why IS NOT NULL GROUP BY 1), y AS (SELECT doc_id, CASE WHEN v IS NULL THEN 'not JSON' WHEN json_type(v) <> 'ARRAY' THEN 'not an array' ELSE why END AS reason FROM j LEFT JOIN x USING (doc_id))
+        SELECT doc_id, reason IS NULL AS valid, reason FROM y"""
+
+
 _CASE = lambda k: "CASE event_type " + " ".join(f"WHEN '{e}' THEN '{v[k]}'" for e, v in STAGES.items()) + " END"
 
 SQL: dict[str, str] = {
@@ -174,6 +236,13 @@ SQL: dict[str, str] = {
     "heading_signals": f"""WITH {_LINES}, h AS (SELECT doc_id, ord, line AS title, {_split("replace(line, ':', '')")} AS ws FROM counted), u AS (SELECT *, {_SQUEEZED} AS sq, {_UPPER} AS up, list_filter(ws, lambda v: lower(v) NOT IN ('and', 'or', 'of', 'the', 'in', 'on', 'for', 'to', 'with', 'by')) AS own FROM h),
         c AS (SELECT *, len(list_filter(own, lambda v: regexp_matches(v, '^\\p{{Lu}}'))) AS caps FROM u)
         SELECT doc_id, ord AS line_no, CASE WHEN up THEN 'uppercase' ELSE 'titlecase' END AS signal FROM c WHERE up OR (sq <> '' AND length(sq) <= 80 AND NOT regexp_matches(sq, '[.,;?!]$') AND len(ws) BETWEEN 1 AND 8 AND caps >= greatest(1, len(own) - 1))""",
+    "draft_topics": _rules(),
+    "resolve_cascade": _cascade() + " SELECT * FROM resolved",
+    "match_audit": _cascade() + """ SELECT 'total' AS bucket, count(*) AS n FROM resolved UNION ALL SELECT 'already_doi', count(*) FROM resolved WHERE strategy = 'named' UNION ALL SELECT 'legacy', count(*) FROM resolved WHERE strategy = 'legacy'
+        UNION ALL SELECT 'matched', count(*) FROM resolved WHERE strategy NOT IN ('named', 'legacy') UNION ALL SELECT 'unmatched', count(*) FROM resolved WHERE strategy IS NULL""",
+    "rename_plan": _cascade() + " SELECT file AS source, base_name || '.pdf' AS target, CASE WHEN base_name IS NULL THEN 'unmatched' WHEN file = max(file) OVER (PARTITION BY base_name) THEN 'copied' ELSE 'overwritten' END AS status FROM resolved",
+    "claim_validation": _claims(),
+    "bibtex_entries": _BIB,
     "heading_levels": f"WITH {_LINES}, {_LEVELS} SELECT doc_id, ord, level FROM levels",
     "section_text": f"WITH {_LINES}, {_TEXT} SELECT doc_id, section_ord, title, text FROM sections",
     "section_tree": f"WITH RECURSIVE {_LINES}, {_LEVELS}, {_TEXT}, {_TREE} SELECT doc_id, ord, level, parent_ord, section_id FROM parents",

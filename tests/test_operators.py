@@ -202,7 +202,9 @@ def test_resolved(spark):
     relations = spark.range(1).select(F.lit("doi-10.1-a").alias("base_name"), f("attached").alias("key"))
     names = ["doi-10.1-z.pdf", "D9__doi-10.1-y.pdf", "Beta bibliography.pdf", "attached.pdf", "X - 2004 - Alpha study.pdf", long_[:40] + ".pdf", "unknown.pdf"]
     got = {r["file"]: (r["base_name"], r["strategy"]) for r in resolve.resolved(spark.createDataFrame([(n,) for n in names], "file string"), meta, bib, relations).collect()}
-    assert [got[n] for n in names] == [("doi-10.1-z", "named"), ("doi-10.1-y", "named"), ("doi-10.1-b", "bib_exact"), ("doi-10.1-a", "relations_exact"), ("doi-10.1-a", "metadata_exact"), ("doi-10.1-c", "metadata_partial"), (None, None)]
+    assert [got[n] for n in names] == [("doi-10.1-z", "named"), ("doi-10.1-y", "legacy"), ("doi-10.1-b", "bib_exact"), ("doi-10.1-a", "relations_exact"), ("doi-10.1-a", "metadata_exact"), ("doi-10.1-c", "metadata_partial"), (None, None)]
+    found = spark.createDataFrame([(n, *got[n]) for n in names], "file string, base_name string, strategy string")
+    assert {tuple(r) for r in resolve.match_audit(found).collect()} == {("total", 7), ("already_doi", 1), ("legacy", 1), ("matched", 4), ("unmatched", 1)}
 
 
 def test_fold_of_all_of_unicode(spark):
