@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.functions import text as T
-from folioscope.operators import bibliography, claims, merge, registry, resolve, sections, seeds, terms
+from folioscope.lineage import shared_folder
+from folioscope.operators import bibliography, claims, merge, registry, resolve, sections, seeds, source_documents, terms
 from folioscope.plans import oracles
+from folioscope.streaming import registry as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -341,7 +343,10 @@ def claim_validation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stage_events(spark: SparkSession, sf: str) -> DataFrame:
-    e = read(spark, sf, "events")
+    return _staged(read(spark, sf, "events"))
+
+
+def _staged(e: DataFrame) -> DataFrame:
     stage = F.create_map(*[F.lit(x) for p in oracles.STAGES.items() for x in (p[0], p[1][1])])
     event = F.create_map(*[F.lit(x) for p in oracles.STAGES.items() for x in (p[0], p[1][0])])
     return e.select(F.col("user_id").alias("paper_id"), "ts", F.col("event_id").alias("seq"), event[F.col("event_type")].alias("event"), stage[F.col("event_type")].alias("stage"))
@@ -402,3 +407,89 @@ def abstract_preview(spark: SparkSession, sf: str) -> DataFrame:
 def ingest_unique(spark: SparkSession, sf: str) -> DataFrame:
     """The first paper of each content."""
     return content_hash(spark, sf).groupBy("sha256").agg(F.min("doc_id").alias("doc_id"))
+
+
+@query
+def source_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as a parser's JSON, a text item each line, and read back in order."""
+    w, line = T.word_count(F.col("x")), F.col("x")
+    label = F.when(w.between(1, 3), "section_header").when(w > 200, "page_header").otherwise("text")
+    lines = _lines(spark, sf).select("doc_id", "ord", F.col("line").alias("x")).select("doc_id", "ord", F.struct(label.alias("label"), line.alias("text"), F.when(w.between(1, 3), (F.length("x") % 4).cast("int")).alias("level")).alias("item"))
+    docs = lines.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("ord", "item"))).alias("xs"))
+    body = F.struct(F.transform("xs", lambda x: F.struct(F.concat(F.lit("#/texts/"), x["ord"].cast("string")).alias("$ref"))).alias("children"))
+    docs = docs.select("doc_id", F.to_json(F.struct(F.transform("xs", lambda x: x["item"]).alias("texts"), body.alias("body"))).alias("source"))
+    return source_documents.linearized(docs).select("doc_id", "ord", "is_heading", "raw", "furniture", F.md5("text").alias("text_md5"), "signal")
+
+
+@query
+def source_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as a parser's JSON: their lines as a list, a group and two tables, a picture, and references to nothing."""
+    li = read(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_returnflag"))).alias("xs"))
+    text = lambda label, x: F.struct(F.lit(label).alias("label"), x.alias("text"))
+    ref = lambda kind, n: F.struct(F.concat(F.lit(f"#/{kind}/"), n.cast("string")).alias("$ref"))
+    texts = F.concat(F.array(text("caption", F.concat(F.lit("Order  "), F.col("l_orderkey").cast("string")))), F.transform("xs", lambda x: text("list_item", F.concat(F.lit(" part  "), x["l_partkey"].cast("string")))), F.array(text("footnote", F.lit("as  shipped"))))
+    lines = F.transform("xs", lambda x, i: ref("texts", i + 1))
+    group = lambda label: F.struct(F.lit(label).alias("label"), lines.alias("children"))
+    table = F.struct(F.array(ref("texts", F.lit(0))).alias("captions"), F.array(ref("texts", F.size("xs") + 1)).alias("footnotes"), F.transform("xs", lambda x: F.struct(F.array(F.to_json(F.struct(x["l_linenumber"].alias("text"))), x["l_returnflag"], F.lit(" ")).alias("cells"))).alias("rows"))
+    cell = lambda x, i: F.struct(i.alias("start_row_offset_idx"), (i + 1).alias("end_row_offset_idx"), F.lit(1).alias("start_col_offset_idx"), F.lit(2).alias("end_col_offset_idx"), x["l_partkey"].cast("string").alias("text"))
+    grid = F.struct(F.lit("Grid").alias("label"), F.struct(F.transform("xs", cell).alias("table_cells")).alias("data"))
+    shown = [("groups", 0), ("groups", 1), ("tables", 0), ("tables", 1), ("pictures", 0), ("texts", 99_999), ("key_value_items", 0)]
+    whole = F.struct(texts.alias("texts"), F.array(group("list"), group("section")).alias("groups"), F.array(F.struct(F.lit("p").alias("label"))).alias("pictures"), F.array(F.struct(F.lit("k").alias("label"))).alias("key_value_items"), F.struct(F.array(*[ref(k, F.lit(n)) for k, n in shown]).alias("children")).alias("body"))
+    # the two tables have different fields, so they are put into the JSON as text
+    tables = F.concat(F.lit('{"tables":['), F.to_json(table), F.lit(","), F.to_json(grid), F.lit("],"))
+    docs = li.select(F.col("l_orderkey").alias("doc_id"), F.concat(tables, F.substring(F.to_json(whole), 2, 1 << 30)).alias("source"))
+    return source_documents.linearized(docs).select("doc_id", "ord", "ref", "text")
+
+
+@query
+def ranked_terms(spark: SparkSession, sf: str) -> DataFrame:
+    """The fifty most frequent terms, in order."""
+    return terms.ranked(term_stats(spark, sf), 50)
+
+
+@query
+def known_ids(spark: SparkSession, sf: str) -> DataFrame:
+    labels = read(spark, sf, "labels").select(F.concat(F.lit("s"), "doc_id").alias("stem"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("p"), "doc_id")).alias("paper_id"), F.lit("").alias("base_name"), "quality")
+    return merge.known_ids(labels.filter("quality = 1"), labels.filter("quality = 0"))
+
+
+@query
+def first_kept(spark: SparkSession, sf: str) -> DataFrame:
+    return merge.first_kept(read(spark, sf, "documents").select("doc_id", "lang"), read(spark, sf, "labels"), "doc_id")
+
+
+@query
+def registry_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Papers in the registry, and labels as what comes in about some of them."""
+    d = read(spark, sf, "documents")
+    old = d.filter("doc_id % 3 > 0").select(F.col("doc_id").alias("paper_id"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("10.1/"), "doc_id")).alias("doi"), F.lit("old/").alias("prefix"), F.lit("completed").alias("status_proc"), F.lit(None).cast("string").alias("status_rag"), F.lit(1).alias("last_event"))
+    new = read(spark, sf, "labels").select(F.col("doc_id").alias("paper_id"), F.when(F.col("quality") == 1, F.concat(F.lit("10.2/"), "doc_id")).alias("doi"), F.lit("new/").alias("prefix"), F.lit(2).alias("last_event"))
+    return registry.upserted(old, new)
+
+
+@query
+def registry_records(spark: SparkSession, sf: str) -> DataFrame:
+    """The last line of each DOI."""
+    o = read(spark, sf, "orders").select(_doi("o_custkey").alias("doi"), F.col("o_orderkey").alias("line_no"), F.col("o_orderstatus").alias("status"))
+    return registry.last_records(o)
+
+
+@query
+def registry_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The registry folded from the events as a stream of files."""
+    events = spark.readStream.schema(read(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return streams.run_to_folder(streams.running_state(_staged(events)), shared_folder(spark))
+
+
+@query
+def name_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """What file names and fields of text tell: a title, a DOI, a year, a value or none."""
+    d = titled(spark, sf).select("paper_id", "title", F.col("paper_id").cast("string").alias("i"))
+    name = F.when(F.col("paper_id") % 3 == 0, F.concat(F.lit("Ann - 20"), F.lpad((F.col("paper_id") % 100).cast("string"), 2, "0"), F.lit(" - Title "), "i", F.lit("__from-raw-pdf-2024-01-02"))).when(F.col("paper_id") % 3 == 1, F.concat(F.lit("see doi:10.5555/A."), "i", F.lit("., 1"), F.lpad((F.col("paper_id") % 1000).cast("string"), 3, "0"))).otherwise(F.element_at(F.array(*map(F.lit, (" None ", "nan", "", "x_y & z", "NULL"))), (F.col("paper_id") % 5 + 1).cast("int")))
+    d = d.withColumn("name", name)
+    return d.select("paper_id", T.title_hint(F.col("name")).alias("hint"), T.doi_within(F.col("name")).alias("doi"), T.optional(F.col("name")).alias("value"), T.year_within(F.col("name")).alias("year"), T.latex(F.col("name")).alias("latex"), T.legacy_base_name(F.col("i"), F.col("name")).alias("legacy"))
+
+
+@query
+def cut_abstracts(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "documents").select("doc_id", F.md5(T.cut_abstract(F.col("text"), 300)).alias("abstract_md5"))

@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and read from the checkpoint folder, that of ``spark.checkpoint.dir``, which all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors share. A local session that names none gets one of its own; on a cluster that is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="folioscope-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
-    A local session that names none gets one of its own; on a cluster that is an error.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed once and read from the checkpoint folder, where it stays until its frame is no longer used, if the session cleans checkpoints."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder or "file://" + tempfile.mkdtemp(prefix="folioscope-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

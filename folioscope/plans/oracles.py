@@ -252,4 +252,25 @@ SQL: dict[str, str] = {
     "table_render": "SELECT l_orderkey AS table_id, l_linenumber AS row_no, max_by(l_returnflag, (l_partkey, l_returnflag)) || ' |  | ' || max_by(CASE WHEN l_partkey % 2 = 0 THEN 'even' ELSE CAST(l_partkey AS VARCHAR) END, l_partkey) AS row_text FROM lineitem GROUP BY 1, 2",
     "claims_prompt_sections": f"""WITH {_LINES}, p AS (SELECT doc_id, ord, CASE WHEN ord % 2 = 0 THEN 'Part ' || ord ELSE 'Untitled Section' END AS name, trim(line, ' ') AS t FROM lines WHERE trim(line, ' ') <> '')
         SELECT doc_id, md5(string_agg('## ' || name || chr(10) || t, chr(10) || chr(10) ORDER BY ord)) AS sections_md5, string_agg(name, ', ' ORDER BY ord) AS available_sections FROM p GROUP BY 1""",
+    "source_items": f"""WITH {_LINES}, h AS (SELECT doc_id, ord, line AS title, w, {_split("replace(line, ':', '')")} AS ws FROM counted), u AS (SELECT *, {_SQUEEZED} AS sq, {_UPPER} AS up, list_filter(ws, lambda v: lower(v) NOT IN ('and', 'or', 'of', 'the', 'in', 'on', 'for', 'to', 'with', 'by')) AS own FROM h),
+        c AS (SELECT *, w BETWEEN 1 AND 3 AS head, w > 200 AS fur, len(list_filter(own, lambda v: regexp_matches(v, '^\\p{{Lu}}'))) AS caps FROM u)
+        SELECT doc_id, ord, head AS is_heading, CASE WHEN head THEN CAST(length(title) % 4 AS INTEGER) END AS raw, fur AS furniture, md5(CASE WHEN head OR fur THEN title ELSE sq END) AS text_md5,
+               CASE WHEN head OR fur THEN NULL WHEN up THEN 'uppercase' WHEN sq <> '' AND length(sq) <= 80 AND NOT regexp_matches(sq, '[.,;?!]$') AND len(ws) BETWEEN 1 AND 8 AND caps >= greatest(1, len(own) - 1) THEN 'titlecase' END AS signal FROM c""",
+    "source_blocks": """WITH o AS (SELECT l_orderkey AS k, string_agg('- part ' || l_partkey, chr(10) ORDER BY l_linenumber, l_partkey, l_returnflag) AS a, string_agg('part ' || l_partkey, chr(10) ORDER BY l_linenumber, l_partkey, l_returnflag) AS b,
+        string_agg('{"text":' || l_linenumber || '} | ' || l_returnflag, chr(10) ORDER BY l_linenumber, l_partkey, l_returnflag) AS c, string_agg(' | ' || l_partkey, chr(10) ORDER BY l_linenumber, l_partkey, l_returnflag) AS d FROM lineitem GROUP BY 1)
+        SELECT k AS doc_id, 0 AS ord, '#/groups/0' AS ref, a AS text FROM o UNION ALL SELECT k, 1, '#/groups/1', b FROM o UNION ALL SELECT k, 2, '#/tables/0', 'Table: Order ' || k || chr(10) || c || chr(10) || 'as shipped' FROM o
+        UNION ALL SELECT k, 3, '#/tables/1', 'Table: Grid' || chr(10) || d FROM o UNION ALL SELECT k, 4, '#/pictures/0', '' FROM o""",
+    "ranked_terms": f"WITH {_TITLED}, {_terms('titled')} SELECT * FROM stats ORDER BY doc_freq DESC, total_freq DESC, term LIMIT 50",
+    "known_ids": "SELECT 's' || doc_id AS id FROM labels WHERE quality IN (0, 1) UNION SELECT 'p' || doc_id FROM labels WHERE quality IN (0, 1) AND doc_id % 2 = 0",
+    "first_kept": "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)",
+    "registry_upsert": """SELECT coalesce(o.doc_id, n.doc_id) AS paper_id, coalesce(CASE WHEN n.quality = 1 THEN '10.2/' || n.doc_id END, CASE WHEN o.doc_id % 2 = 0 THEN '10.1/' || o.doc_id END) AS doi, CASE WHEN n.doc_id IS NULL THEN 'old/' ELSE 'new/' END AS prefix,
+        CASE WHEN o.doc_id IS NULL THEN 'pending' ELSE 'completed' END AS status_proc, 'pending' AS status_rag, CASE WHEN n.doc_id IS NULL THEN 1 ELSE 2 END AS last_event FROM (SELECT * FROM documents WHERE doc_id % 3 > 0) o FULL JOIN labels n ON n.doc_id = o.doc_id""",
+    "registry_records": "SELECT '10.5555/d' || o_custkey AS doi, max(o_orderkey) AS line_no, max_by(o_orderstatus, o_orderkey) AS status FROM orders GROUP BY 1",
+    "name_parts": f"""WITH {_TITLED}, n AS (SELECT paper_id, CASE WHEN paper_id % 3 = 0 THEN 'Ann - 20' || lpad(CAST(paper_id % 100 AS VARCHAR), 2, '0') || ' - Title ' || paper_id || '__from-raw-pdf-2024-01-02' WHEN paper_id % 3 = 1 THEN 'see doi:10.5555/A.' || paper_id || '., 1' || lpad(CAST(paper_id % 1000 AS VARCHAR), 3, '0')
+            ELSE [' None ', 'nan', '', 'x_y & z', 'NULL'][paper_id % 5 + 1] END AS name FROM titled)
+        SELECT paper_id, CASE WHEN paper_id % 3 = 0 THEN 'Title ' || paper_id ELSE trim(name, ' ') END AS hint, CASE WHEN paper_id % 3 = 1 THEN '10.5555/a.' || paper_id END AS doi, CASE WHEN paper_id % 3 < 2 THEN name WHEN paper_id % 5 = 3 THEN 'x_y & z' END AS value,
+               regexp_extract(name, '\\b((?:19|20)[0-9]{{2}})\\b', 1) AS year, {_LATEX("name")} AS latex, paper_id || '__doi-' || CASE WHEN slug = '' THEN 'unknown-doi' ELSE slug END AS legacy
+        FROM (SELECT *, regexp_replace(regexp_replace(regexp_replace(lower(trim(name, ' ')), '[^a-z0-9._-]+', '-', 'g'), '-+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM n)""",
+    "cut_abstracts": f"SELECT doc_id, md5(CASE WHEN len(w) > 300 THEN array_to_string(w[1:300], ' ') || '...' ELSE text END) AS abstract_md5 FROM (SELECT doc_id, text, {_split('text')} AS w FROM documents)",
 }
+SQL["registry_stream"] = SQL["registry_state"]

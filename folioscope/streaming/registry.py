@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,3 +31,16 @@ def windowed_counts(events: DataFrame, width: str = "1 hour", late: str = "30 mi
 def run_to_table(stream: DataFrame, name: str, checkpoint: str, mode: str = "complete") -> StreamingQuery:
     """All that is there now, into a table in memory; for tests and small states."""
     return stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def run_to_folder(stream: DataFrame, folder: str) -> DataFrame:
+    """All that is there now, folded and written below ``folder``, which executors share: each batch writes the whole table anew, and the last one is read."""
+    path = f"{folder}/registry-{uuid.uuid4().hex}"
+    written: list[int] = []
+
+    def put(df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/batch-{batch}")
+        written.append(batch)
+
+    stream.writeStream.outputMode("complete").foreachBatch(put).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/batch-{written[-1]}") if written else stream.sparkSession.createDataFrame([], stream.schema)
