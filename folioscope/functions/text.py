@@ -28,14 +28,29 @@ def _folding() -> tuple[str, str, dict[str, str]]:
 _ONE, _TO, _MORE = _folding()
 
 
+def _ranges(chars: list[int], gap: int = 16) -> str:
+    """A short character class that has at least ``chars``: a class of hundreds of single ones is tried one by one for each character of a text."""
+    out, low, high = [], chars[0], chars[0]
+    for c in [*chars[1:], 0x110000]:
+        if c > high + gap:
+            out.append(f"{chr(low)}-{chr(high)}")
+            low = c
+        high = c
+    return "[" + "".join(out) + "]"
+
+
+_MAYBE = _ranges(sorted(map(ord, _MORE)))
+
+
 def fold(x: Column) -> Column:
     """Compatibility decomposition with all but ASCII dropped: ``é`` gives ``e``, ``ﬁ`` gives ``fi``, ``ß`` gives nothing."""
-    several = "([" + "".join(_MORE) + "])"
+    rest = F.regexp_replace(x, "[\\x00-\\x7F]+", "")
     to = F.create_map(*[F.lit(c) for pair in _MORE.items() for c in pair])
     # the few characters that a text has of those that become several are replaced one after the other
-    many = F.aggregate(F.array_distinct(F.regexp_extract_all(x, F.lit(several), F.lit(1))), x, lambda s, c: F.replace(s, c, F.element_at(to, c)))
-    plain = F.translate(F.when(x.rlike(several), many).otherwise(x), _ONE, _TO)
-    return F.when(x.rlike("[^\\x00-\\x7F]"), F.regexp_replace(plain, "[^\\x00-\\x7F]", "")).otherwise(x)
+    own = F.array_distinct(F.regexp_extract_all(rest, F.lit(f"({_MAYBE})"), F.lit(1)))
+    many = F.aggregate(own, x, lambda s, c: F.replace(s, c, F.coalesce(F.element_at(to, c), c)))
+    plain = F.translate(F.when(rest.rlike(_MAYBE), many).otherwise(x), _ONE, _TO)
+    return F.when(rest != "", F.regexp_replace(plain, "[^\\x00-\\x7F]+", "")).otherwise(x)
 
 
 def words_of(x: Column) -> Column:
