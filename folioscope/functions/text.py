@@ -45,7 +45,8 @@ _MAYBE = _ranges(sorted(map(ord, _MORE)))
 def fold(x: Column) -> Column:
     """Compatibility decomposition with all but ASCII dropped: ``é`` gives ``e``, ``ﬁ`` gives ``fi``, ``ß`` gives nothing."""
     rest = F.regexp_replace(x, "[\\x00-\\x7F]+", "")
-    to = F.create_map(*[F.lit(c) for pair in _MORE.items() for c in pair])
+    # read from one literal, which the optimizer folds: a map of some 900 literals is slow to plan wherever this expression is repeated
+    to = F.str_to_map(F.lit("\x02".join(f"{c}\x01{plain}" for c, plain in _MORE.items())), F.lit("\x02"), F.lit("\x01"))
     # the few characters that a text has of those that become several are replaced one after the other
     own = F.array_distinct(F.regexp_extract_all(rest, F.lit(f"({_MAYBE})"), F.lit(1)))
     many = F.aggregate(own, x, lambda s, c: F.replace(s, c, F.coalesce(F.element_at(to, c), c)))

@@ -29,7 +29,7 @@ def keyword_seeds(metadata: DataFrame, explored: DataFrame, keywords: list[str],
     m = metadata.select(doi(F.col("doi")).alias("doi"), "title", citations(F.col("citation_count")).alias("citation_count"))
     m = m.filter((F.col("doi") != "") & (F.col("citation_count") >= least))
     m = m.join(explored.select(doi(F.col("doi")).alias("doi")).distinct(), "doi", "left_anti")
-    m = m.withColumn("text", normalized(F.coalesce("title", F.lit("")))).filter(_any(F.col("text"), keywords))
+    m = _with_text(m).filter(_any(F.col("text"), keywords))
     hits = m.withColumn("m", matched_keywords(F.col("text"), keywords))
     return hits.select("doi", "title", "citation_count", F.array_join("m", "; ").alias("matched_keywords"))
 
@@ -45,8 +45,7 @@ def gap_seeds(papers: DataFrame, unclassified: DataFrame, metadata: DataFrame, e
     known = metadata.select(doi(F.col("doi")).alias("doi"), F.col("title").alias("own"), citations(F.col("citation_count")).alias("c"))
     known = known.groupBy("doi").agg(F.max_by("own", F.struct("c", "own")).alias("own"), F.max("c").alias("c"))
     rows = rows.join(known, "doi", "left").select("doi", F.when(F.coalesce("own", F.lit("")) != "", F.col("own")).otherwise(F.col("title")).alias("title"), F.coalesce("c", F.lit(0)).alias("citation_count"), "p").filter(F.col("citation_count") >= least)
-    # a column of its own, so that it is worked out once and not for each term
-    rows = rows.withColumn("text", normalized(F.coalesce("title", F.lit(""))))
+    rows = _with_text(rows)
     hit = [F.when(_any(F.col("text"), terms), F.lit(name)) for name, terms in topics]
     rows = rows.filter(_any(F.col("text"), [t for _, terms in topics for t in terms])).withColumn("m", F.array_compact(F.array(*hit))).drop("text")
     rows = rows.withColumn("score", 100_000 * F.size("m") + F.when(F.col("p") == 0, 25_000).otherwise(0) + F.col("citation_count"))
@@ -54,6 +53,12 @@ def gap_seeds(papers: DataFrame, unclassified: DataFrame, metadata: DataFrame, e
     return best.select("doi", "b.title", "b.citation_count", F.array_join("b.m", "; ").alias("matched_topics"), F.when(F.col("b.p") == 0, "unclassified").otherwise("papers").alias("source_bucket"), "b.score")
 
 
+def _with_text(rows: DataFrame) -> DataFrame:
+    """With the normalised title as ``text``. It comes from a generator of one element, which filters aren't pushed through: the optimizer would
+    put the whole expression in the place of each term's ``text``."""
+    return rows.select("*", F.explode(F.array(normalized(F.coalesce("title", F.lit(""))))).alias("text"))
+
+
 def _any(text: Column, terms: list[str]) -> Column:
     out = F.lit(False)
     for t in terms:
