@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.functions.text import heading_signal, split_words
+from folioscope.functions.text import heading_signal
 
 LISTS = ("texts", "groups", "pictures", "tables", "key_value_items")
 FURNITURE = ("page_header", "page_footer")
@@ -20,7 +20,7 @@ FURNITURE = ("page_header", "page_footer")
 
 def squeezed(x: Column) -> Column:
     """Trimmed, with white space of any kind as single spaces; an empty text for null."""
-    return F.array_join(split_words(F.coalesce(x, F.lit(""))), " ")
+    return F.trim(F.regexp_replace(F.coalesce(x, F.lit("")), r"(?U)\s+", " "))
 
 
 def _text(v: str, path: str) -> str:
@@ -100,18 +100,24 @@ def linearized(docs: DataFrame, source: str = "source") -> DataFrame:
     rows = docs.selectExpr("doc_id", f"try_parse_json({source}) AS v").selectExpr("doc_id", *lists, f"{_refs('v', '$.body.children')} AS refs")
     texts = lambda path: f"transform({_refs('i.item', path)}, r -> {_text(f'({_resolved("r")})', '$.text')})"
     item = f"struct(r AS ref, {_resolved('r')} AS item)"
-    children = f"struct(i.ref AS ref, i.item AS item, {texts('$.children')} AS children, {texts('$.captions')} AS captions, {texts('$.footnotes')} AS footnotes)"
-    rows = rows.selectExpr("doc_id", f"transform(transform(refs, r -> {item}), i -> {children}) AS items").selectExpr("doc_id", "posexplode(items) AS (ord, i)").filter("i.item IS NOT NULL")
-    rows = rows.selectExpr("doc_id", "ord", "i.*", f"{_text('i.item', '$.label')} AS label", f"{_text('i.item', '$.text')} AS own", f"{_text('i.item', '$.content_layer')} = 'furniture' AS layer", "CASE WHEN schema_of_variant(try_variant_get(i.item, '$.level', 'variant')) = 'BIGINT' THEN try_variant_get(i.item, '$.level', 'int') END AS level")
+    only = lambda kind, x: f"CASE WHEN startswith(i.ref, '#/{kind}/') THEN {x} END"
+    level = "CASE WHEN schema_of_variant(try_variant_get(i.item, '$.level', 'variant')) = 'BIGINT' THEN try_variant_get(i.item, '$.level', 'int') END"
+    # an item is read where it is looked up, so what is exploded are plain fields, which later conditions may repeat at no cost
+    fields = {
+        "ref": "i.ref", "found": "i.item IS NOT NULL", "label": _text("i.item", "$.label"), "own": _text("i.item", "$.text"), "layer": f"{_text('i.item', '$.content_layer')} = 'furniture'", "level": level,
+        "children": only("groups", texts("$.children")), "captions": only("tables", texts("$.captions")), "footnotes": only("tables", texts("$.footnotes")), "json": only("tables", "to_json(i.item)"),
+    }
+    fields_ = "struct(" + ", ".join(f"{x} AS {k}" for k, x in fields.items()) + ")"
+    # from an inner explode Spark infers a filter on its list, which it pushes below the parsing, where every reference would parse the document anew
+    rows = rows.selectExpr("doc_id", f"transform(transform(refs, r -> {item}), i -> {fields_}) AS items").selectExpr("doc_id", "posexplode_outer(items) AS (ord, i)").filter("i.found").selectExpr("doc_id", "ord", "i.*")
     label, ref = F.col("label"), F.col("ref")
     furniture = F.coalesce("layer", F.lit(False)) | F.coalesce(label.isin(*FURNITURE), F.lit(False))
     heading = ~furniture & F.coalesce(label == "section_header", F.lit(False))
     parts = F.filter(F.transform("children", squeezed), lambda t: t != "")
     named = lambda c: F.filter(F.transform(c, squeezed), lambda t: t != "")
-    table = F.when(ref.startswith("#/tables/"), F.expr("to_json(item)"))
     block = F.when(ref.startswith("#/texts/"), squeezed(F.col("own"))).when(ref.startswith("#/groups/") & F.coalesce(label == "list", F.lit(False)), F.array_join(F.transform(parts, lambda t: F.concat(F.lit("- "), t)), "\n"))
     block = block.when(ref.startswith("#/groups/"), F.array_join(parts, "\n")).when(ref.startswith("#/pictures/"), F.lit("")).otherwise(F.col("table"))
-    rows = rows.withColumn("table", F.pandas_udf(table_text, "string")(table, named("captions"), named("footnotes")))
+    rows = rows.withColumn("table", F.pandas_udf(table_text, "string")(F.col("json"), named("captions"), named("footnotes")))
     own = F.coalesce("own", F.lit(""))
     out = rows.select(
         "doc_id", "ord", "ref", heading.alias("is_heading"), F.when(heading, F.col("level")).alias("raw"), F.when(heading, F.trim(own)).alias("title"), F.when(furniture | heading, own).otherwise(block).alias("text"),
