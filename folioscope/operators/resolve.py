@@ -12,17 +12,27 @@ from folioscope.operators.containment import contained
 LEAD = 8
 
 
+def _cited(candidates: DataFrame, by: str) -> DataFrame:
+    """(by, base_name, c): the most citations of each. A null count is -1."""
+    return candidates.groupBy(by, "base_name").agg(F.max(F.coalesce("citations", F.lit(-1))).alias("c"))
+
+
 def preferred(candidates: DataFrame, by: str) -> DataFrame:
     """(by, base_name): the one candidate, or the one with strictly most citations; none on a tie. A null count is -1."""
-    own = candidates.groupBy(by, "base_name").agg(F.max(F.coalesce("citations", F.lit(-1))).alias("c"))
+    own = _cited(candidates, by)
     rank = Window.partitionBy(by).orderBy(F.desc("c"), "base_name")
     lead = own.withColumn("r", F.row_number().over(rank)).withColumn("n", F.lead("c").over(rank)).filter("r = 1 AND (n IS NULL OR n < c)")
     return lead.select(by, "base_name")
 
 
 def exact_titles(items: DataFrame, records: DataFrame) -> DataFrame:
-    """(item, base_name) where the title keys are equal."""
-    both = items.select("item", "key").filter("key <> ''").join(records.select("base_name", "citations", F.col("key")), "key")
+    """(item, base_name) where the title keys are equal.
+
+    Whatever an item's other keys are, its first two candidates are among the first two of a key, so no more of each key meet the items.
+    """
+    rank = Window.partitionBy("key").orderBy(F.desc("c"), "base_name")
+    first = _cited(records.filter("key <> ''"), "key").withColumn("r", F.row_number().over(rank)).filter("r <= 2")
+    both = items.select("item", "key").filter("key <> ''").join(first.select("key", "base_name", F.col("c").alias("citations")), "key")
     return preferred(both, "item")
 
 

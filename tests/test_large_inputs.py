@@ -1,11 +1,13 @@
 """Results and plans that hold for tables of any size."""
 
 import json
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from folioscope import catalogue
-from folioscope.operators import source_documents
+from folioscope.operators import resolve, source_documents
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,6 +16,24 @@ def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def joined_rows(df):
+    """The most rows that a join of the plan gave, which has run."""
+    found, left = [0], [df._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            left.append(node.executedPlan())
+            continue
+        if "QueryStage" in name:
+            left.append(node.plan())
+            continue
+        if "Join" in name and node.metrics().contains("numOutputRows"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        left += [node.children().apply(k) for k in range(node.children().size())]
+    return max(found)
+
+
 @pytest.mark.parametrize("name", ["source_blocks", "source_items"])
 def test_documents_are_parsed_once(spark, name):
     assert optimized(catalogue.QUERIES[name](spark, SF)).count("parseJson") == 1
@@ -33,3 +53,23 @@ def test_linearized_odd_documents(spark):
         (1, 3, "#/texts/3", False, None, None, "foot", None, True), (1, 4, "#/texts/4", False, None, None, "", None, False), (1, 5, "#/texts/5", False, None, None, "Y Z", "uppercase", False),
         (1, 6, "#/groups/0", False, None, None, "- a b\n- Big Words", None, False), (1, 7, "#/tables/0", False, None, None, "Table: a b\nx | 1.5", None, False),
     ]
+
+
+def test_exact_titles_are_not_multiplied(spark):
+    """An item takes the lead of all records of its keys, but no more than two of a key are joined with it."""
+    rng = random.Random(5)
+    items = [(f"i{rng.randint(0, 60)}" if n else None, rng.choice(["", "a", "b", "c", "d", "e", None])) for n in range(120)]
+    records = [(f"r{rng.randint(0, 40)}" if n else None, rng.choice(["", "a", "b", "c", "d", None]), rng.choice([None, 1, 2, 3, 50 + n])) for n in range(90)]
+    most = {}
+    for i, key in items:
+        for name, k, c in records:
+            if key and key == k:
+                own = most.setdefault(i, {})
+                own[name] = max(own.get(name, -1), -1 if c is None else c)
+    want = {(i, max(own, key=own.get)) for i, own in most.items() if list(own.values()).count(max(own.values())) == 1}
+    i, r = spark.createDataFrame(items, "item string, key string"), spark.createDataFrame(records, "base_name string, key string, citations int")
+    found = resolve.exact_titles(i, r)
+    assert {tuple(x) for x in found.collect()} == want and len(want) > 10
+    same = resolve.exact_titles(spark.range(300).select(F.col("id").alias("item"), F.lit("k").alias("key")), spark.range(300).select(F.col("id").alias("base_name"), F.lit("k").alias("key"), F.col("id").alias("citations")))
+    assert {tuple(x) for x in same.collect()} == {(n, 299) for n in range(300)}
+    assert joined_rows(same) <= 600
