@@ -104,21 +104,60 @@ def excluded_term(term, excluded: tuple[str, ...] = ()):  # type: ignore[no-unty
     return term.isin(*excluded) | F.exists(t, lambda w: w.rlike("^[0-9]{4}$")) | number(F.element_at(t, 1)) | number(F.element_at(t, -1)) | only
 
 
+def _numbered(papers: DataFrame) -> DataFrame:
+    """(paper_id, nth, title, w, same): papers told apart by id, title and weight, those of an id numbered in that order; ``same`` is how many rows each stands for."""
+    # as many partitions as told, for their terms are many times the titles, by whose size adaptive execution would merge them
+    parts = int(papers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = papers.select("paper_id", "title", citation_weight(F.col("citation_count")).alias("w")).repartition(parts, "paper_id")
+    one = rows.groupBy("paper_id", "title", "w").agg(F.count(F.lit(1)).alias("same"))
+    return one.withColumn("nth", F.row_number().over(Window.partitionBy("paper_id").orderBy("title", "w")))
+
+
+def _occurrences(numbered: DataFrame, low: int, high: int, excluded: tuple[str, ...]) -> DataFrame:
+    """(paper_id, nth, w, same, term, first): each time that a candidate stands in a title; ``first`` marks one of those in the same title.
+
+    A title's terms are sorted within its row, so no title is sent along with its terms.
+    """
+    keys = ["paper_id", "nth", "w", "same"]
+    rows = numbered.select(*keys, title_tokens(F.coalesce("title", F.lit(""))).alias("t")).select(*keys, F.sort_array(ngrams(F.col("t"), low, high)).alias("s"))
+    before = F.slice(F.concat(F.array(F.lit(None).cast("string")), "s"), F.lit(1), F.size("s"))
+    marked = F.zip_with("s", before, lambda x, y: F.struct(x.alias("term"), (y.isNull() | (x != y)).alias("first")))
+    # an outer explode, as from an inner one Spark infers a filter that makes the terms a second time
+    rows = rows.select(*keys, F.explode_outer(marked).alias("x")).select(*keys, "x.term", "x.first")
+    return rows.filter(F.col("term").isNotNull() & ~excluded_term(F.col("term"), excluded))
+
+
+def _scored(rows: DataFrame, least: int) -> DataFrame:
+    stats = rows.groupBy("term").agg(F.count_if("first").alias("doc_freq"), F.sum("same").alias("total_freq"), F.sum(F.when(F.col("first"), F.col("w"))).alias("citation_weight")).filter(F.col("doc_freq") >= least)
+    return stats.select("term", F.size(F.split("term", " ")).alias("n_tokens"), "doc_freq", "total_freq", F.round("citation_weight", 4).alias("citation_weight"), F.round(candidate_score(F.col("doc_freq"), F.col("total_freq"), F.col("citation_weight")), 4).alias("combined_score"))
+
+
+def candidate_scores(papers: DataFrame, *, low: int = 2, high: int = 3, least: int = 2, excluded: tuple[str, ...] = ()) -> DataFrame:
+    """``candidate_terms`` without examples, which cost most."""
+    return _scored(_occurrences(_numbered(papers), low, high, excluded), least)
+
+
 def candidate_terms(papers: DataFrame, *, low: int = 2, high: int = 3, least: int = 2, excluded: tuple[str, ...] = (), examples: int = 3, top: int | None = None) -> DataFrame:
     """(term, n_tokens, doc_freq, total_freq, citation_weight, combined_score, example_titles), the examples the first titles by paper_id.
 
-    Each task keeps no more than ``examples`` titles of a term, as the smallest of a running list.
+    Terms carry which papers are their examples. Those that have the same ones are gathered, and titles are fetched once for each such
+    group, for terms of a long title are many and nearly all in the same papers; only the result repeats titles by term.
     """
-    rows = papers.select("paper_id", "title", citation_weight(F.col("citation_count")).alias("w"), title_tokens(F.coalesce("title", F.lit(""))).alias("t"))
-    rows = rows.select("paper_id", "title", "w", F.explode(ngrams(F.col("t"), low, high)).alias("term")).filter(~excluded_term(F.col("term"), excluded))
-    own = rows.groupBy("paper_id", "title", "w", "term").agg(F.count(F.lit(1)).alias("times"))
-    stats = own.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("times").alias("total_freq"), F.sum("w").alias("citation_weight")).filter(F.col("doc_freq") >= least)
-    order = Window.partitionBy("term").orderBy("paper_id", "title")
-    # Spark pushes the bound on row_number below the shuffle, so a frequent term sends a few titles from each task
-    few = own.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= examples)
-    few = few.groupBy("term").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "title"))), lambda x: x["title"]), " | ").alias("example_titles"))
-    out = stats.join(few, "term").select("term", F.size(F.split("term", " ")).alias("n_tokens"), "doc_freq", "total_freq", F.round("citation_weight", 4).alias("citation_weight"), F.round(candidate_score(F.col("doc_freq"), F.col("total_freq"), F.col("citation_weight")), 4).alias("combined_score"), "example_titles")
-    return out if top is None else out.orderBy(F.desc("combined_score"), F.desc("doc_freq"), F.desc("citation_weight"), "term").limit(top)
+    numbered = _numbered(papers)
+    rows = _occurrences(numbered, low, high, excluded)
+    out = _scored(rows, least)
+    if top is not None:
+        out = out.orderBy(F.desc("combined_score"), F.desc("doc_freq"), F.desc("citation_weight"), "term").limit(top)
+    order = Window.partitionBy("term").orderBy("paper_id", "nth")
+    # Spark pushes the bound on row_number below the shuffle, so a frequent term sends a few papers from each task
+    few = rows.filter("first").select("term", "paper_id", "nth").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= examples)
+    few = few.groupBy("term").agg(F.array_sort(F.collect_list(F.struct("place", "paper_id", "nth"))).alias("of"))
+    groups = out.join(few, "term").groupBy("of").agg(F.collect_list(F.struct(*out.columns)).alias("terms"))
+    sent = groups.select("of", "terms", F.explode_outer("of").alias("x")).select("of", F.when(F.col("x.place") == 1, F.col("terms")).alias("terms"), "x.*")
+    titles = numbered.select(F.col("paper_id").alias("_id"), F.col("nth").alias("_nth"), "title")
+    found = sent.join(titles, F.col("paper_id").eqNullSafe(F.col("_id")) & (F.col("nth") == F.col("_nth"))).groupBy("of")
+    found = found.agg(F.flatten(F.collect_list("terms")).alias("terms"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "title"))), lambda x: x["title"]), " | ").alias("example_titles"))
+    return found.select(F.explode_outer("terms").alias("x"), "example_titles").select("x.*", "example_titles")
 
 
 def draft_topics(candidates: DataFrame, rules: list[tuple[str, list[str]]], *, least: int = 2, most: int = 10) -> DataFrame:

@@ -1,13 +1,14 @@
 """Results and plans that hold for tables of any size."""
 
 import json
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from folioscope import catalogue
-from folioscope.operators import resolve, source_documents
+from folioscope.operators import resolve, source_documents, terms
 
 SF = "/root/testdata/sf0.001"
 
@@ -73,3 +74,46 @@ def test_exact_titles_are_not_multiplied(spark):
     same = resolve.exact_titles(spark.range(300).select(F.col("id").alias("item"), F.lit("k").alias("key")), spark.range(300).select(F.col("id").alias("base_name"), F.lit("k").alias("key"), F.col("id").alias("citations")))
     assert {tuple(x) for x in same.collect()} == {(n, 299) for n in range(300)}
     assert joined_rows(same) <= 600
+
+
+def shuffled_mb(spark, df):
+    """MB that writing ``df`` shuffles."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    total = lambda: sum(store.executorList(False).apply(k).totalShuffleWrite() for k in range(store.executorList(False).size()))
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    before = total()
+    df.write.format("noop").mode("overwrite").save()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return (total() - before) / 1e6
+
+
+def test_long_titles_are_not_sent_with_each_term(spark):
+    rng = random.Random(3)
+    long_ = " ".join("".join(rng.choices("bcdfgh", k=8)) for _ in range(3000))  # 27 KB, and nearly 6,000 terms
+    papers = spark.createDataFrame([(1, long_, 5), (2, long_, 7), (3, long_[:-9], 1)], "paper_id int, title string, citation_count int")
+    assert shuffled_mb(spark, terms.candidate_terms(papers)) < 3 and shuffled_mb(spark, terms.candidate_scores(papers)) < 1.5
+    found = terms.candidate_terms(papers)
+    assert found.count() == 5997 and found.filter("doc_freq = 3").count() == 5995
+    assert {r[0] for r in found.select("example_titles").distinct().collect()} == {f"{long_} | {long_} | {long_[:-9]}", f"{long_} | {long_}"}
+
+
+def test_candidates_against_plain_python(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, *range(30)]), " ".join(rng.choices(["red", "Big", "the", "1999", "12", "global", "national", "éa", "x"], k=rng.randint(0, 9))) if n % 9 else None, rng.choice([1, 2])) for n in range(200)]
+    weigh, stop, region = lambda c: math.log1p(c), {"the"}, {"global", "national"}
+    want = {}
+    for key, title, c in set(rows):
+        t = [w for w in (title or "").lower().replace("é", "e").split() if w not in stop]
+        runs = [t[k : k + n] for n in (2, 3) for k in range(len(t) - n + 1)]
+        runs = [" ".join(r) for r in runs if "1999" not in r and r[0] != "12" and r[-1] != "12" and not set(r) <= region]
+        for term in set(runs):
+            want.setdefault(term, []).append(((key is not None, key or 0), title, c, runs.count(term) * rows.count((key, title, c))))
+    want = {t: (len(x), sum(y[3] for y in x), round(sum(weigh(y[2]) for y in x), 4), " | ".join(y[1] for y in sorted(x)[:3])) for t, x in want.items() if len(x) > 1}
+    papers = spark.createDataFrame(rows, "paper_id int, title string, citation_count int")
+    found = {r["term"]: (r["doc_freq"], r["total_freq"], r["citation_weight"], r["example_titles"]) for r in terms.candidate_terms(papers).collect()}
+    close = lambda a, b: a[:2] == b[:2] and a[3] == b[3] and math.isclose(a[2], b[2], abs_tol=2e-4)
+    assert found.keys() == want.keys() and len(want) > 50 and all(close(found[t], want[t]) for t in want)
+    scored = {r["term"]: (r["doc_freq"], r["total_freq"]) for r in terms.candidate_scores(papers).collect()}
+    assert scored == {t: x[:2] for t, x in want.items()}
+    top = [r["term"] for r in terms.candidate_terms(papers, top=5).orderBy(F.desc("combined_score"), F.desc("doc_freq"), F.desc("citation_weight"), "term").collect()]
+    assert len(top) == 5 and top == [r["term"] for r in terms.candidate_scores(papers).orderBy(F.desc("combined_score"), F.desc("doc_freq"), F.desc("citation_weight"), "term").limit(5).collect()]
