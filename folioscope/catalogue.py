@@ -103,13 +103,13 @@ def candidate_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def candidate_scores(spark: SparkSession, sf: str) -> DataFrame:
-    found = terms.candidate_terms(titled(spark, sf))
+    found = terms.candidate_scores(titled(spark, sf))
     return found.select("term", F.round("citation_weight", 1).alias("citation_weight"), F.round("combined_score", 1).alias("combined_score"))
 
 
 @query
 def draft_topics(spark: SparkSession, sf: str) -> DataFrame:
-    return terms.draft_topics(terms.candidate_terms(short_papers(spark, sf), low=1, high=2), RULES)
+    return terms.draft_topics(terms.candidate_scores(short_papers(spark, sf), low=1, high=2), RULES)
 
 
 def _doi(column: str) -> F.Column:  # type: ignore[name-defined]
