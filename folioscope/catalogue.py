@@ -412,12 +412,13 @@ def ingest_unique(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def source_items(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as a parser's JSON, a text item each line, and read back in order."""
-    w, line = T.word_count(F.col("x")), F.col("x")
-    label = F.when(w.between(1, 3), "section_header").when(w > 200, "page_header").otherwise("text")
-    lines = _lines(spark, sf).select("doc_id", "ord", F.col("line").alias("x")).select("doc_id", "ord", F.struct(label.alias("label"), line.alias("text"), F.when(w.between(1, 3), (F.length("x") % 4).cast("int")).alias("level")).alias("item"))
-    docs = lines.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("ord", "item"))).alias("xs"))
-    body = F.struct(F.transform("xs", lambda x: F.struct(F.concat(F.lit("#/texts/"), x["ord"].cast("string")).alias("$ref"))).alias("children"))
-    docs = docs.select("doc_id", F.to_json(F.struct(F.transform("xs", lambda x: x["item"]).alias("texts"), body.alias("body"))).alias("source"))
+    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("x"), T.word_count(x).alias("w")))
+    label = lambda w: F.when(w.between(1, 3), "section_header").when(w > 200, "page_header").otherwise("text")
+    item = lambda l: F.struct(label(l["w"]).alias("label"), l["x"].alias("text"), F.when(l["w"].between(1, 3), (F.length(l["x"]) % 4).cast("int")).alias("level"))
+    body = F.struct(F.transform("xs", lambda _, k: F.struct(F.concat(F.lit("#/texts/"), k.cast("string")).alias("$ref"))).alias("children"))
+    # each row is a document by itself, so nothing is shuffled and rows that repeat an id stay apart
+    docs = read(spark, sf, "documents").select("doc_id", lines.alias("xs"))
+    docs = docs.select("doc_id", F.to_json(F.struct(F.transform("xs", item).alias("texts"), body.alias("body"))).alias("source"))
     return source_documents.linearized(docs).select("doc_id", "ord", "is_heading", "raw", "furniture", F.md5("text").alias("text_md5"), "signal")
 
 

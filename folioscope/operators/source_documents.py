@@ -115,13 +115,15 @@ def linearized(docs: DataFrame, source: str = "source") -> DataFrame:
     heading = ~furniture & F.coalesce(label == "section_header", F.lit(False))
     parts = F.filter(F.transform("children", squeezed), lambda t: t != "")
     named = lambda c: F.filter(F.transform(c, squeezed), lambda t: t != "")
-    block = F.when(ref.startswith("#/texts/"), squeezed(F.col("own"))).when(ref.startswith("#/groups/") & F.coalesce(label == "list", F.lit(False)), F.array_join(F.transform(parts, lambda t: F.concat(F.lit("- "), t)), "\n"))
+    block = F.when(ref.startswith("#/texts/"), F.col("squeezed")).when(ref.startswith("#/groups/") & F.coalesce(label == "list", F.lit(False)), F.array_join(F.transform(parts, lambda t: F.concat(F.lit("- "), t)), "\n"))
     block = block.when(ref.startswith("#/groups/"), F.array_join(parts, "\n")).when(ref.startswith("#/pictures/"), F.lit("")).otherwise(F.col("table"))
     rows = rows.withColumn("table", F.pandas_udf(table_text, "string")(F.col("json"), named("captions"), named("footnotes")))
+    # a paragraph is squeezed once; a signal needs no more than 80 characters of it
+    rows = rows.withColumn("squeezed", F.when(ref.startswith("#/texts/") & ~furniture & ~heading, squeezed(F.col("own"))))
     own = F.coalesce("own", F.lit(""))
     out = rows.select(
         "doc_id", "ord", "ref", heading.alias("is_heading"), F.when(heading, F.col("level")).alias("raw"), F.when(heading, F.trim(own)).alias("title"), F.when(furniture | heading, own).otherwise(block).alias("text"),
-        F.when(~furniture & ref.startswith("#/texts/") & (label == "text"), heading_signal(F.trim(own))).alias("signal"), furniture.alias("furniture"),
+        F.when(~furniture & (label == "text") & (F.length("squeezed") <= 80), heading_signal(F.col("squeezed"))).alias("signal"), furniture.alias("furniture"),
     )
     return out.filter("furniture OR is_heading OR NOT startswith(ref, '#/key_value_items/')")
 

@@ -4,6 +4,7 @@ import json
 import math
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +118,17 @@ def test_candidates_against_plain_python(spark):
     assert scored == {t: x[:2] for t, x in want.items()}
     top = [r["term"] for r in terms.candidate_terms(papers, top=5).orderBy(F.desc("combined_score"), F.desc("doc_freq"), F.desc("citation_weight"), "term").collect()]
     assert len(top) == 5 and top == [r["term"] for r in terms.candidate_scores(papers).orderBy(F.desc("combined_score"), F.desc("doc_freq"), F.desc("citation_weight"), "term").limit(5).collect()]
+
+
+def test_source_items_by_row(spark, tmp_path):
+    """Documents aren't shuffled, and those that repeat an id, or have none, keep their own lines."""
+    long_ = "word " * 201 + "\n" + "Y " + " " * 90 + "Z and more of it"
+    docs = spark.createDataFrame([(1, "Big Heading Of One\na b c d."), (1, "SECOND HEADING OF IT\n\ne  f g h"), (None, "x"), (None, long_), (2, None), (3, "")], "doc_id bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = catalogue.QUERIES["source_items"](spark, str(tmp_path))
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = c.execute(catalogue.ORACLE_SQL["source_items"])
+    names = [d[0] for d in want.description]
+    assert sorted(map(str, (tuple(r) for r in found.select(*names).collect()))) == sorted(map(str, want.fetchall()))
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
